@@ -1,4 +1,4 @@
-"""Header metadata of PE binaries as column expressions over a binary column.
+"""Header metadata of PE binaries as SQL expressions over a binary column.
 
 Follows the published PE/COFF layout. Every read yields NULL outside the file, and NULL spreads, so a
 damaged file needs no error handling of its own.
@@ -6,7 +6,7 @@ damaged file needs no error handling of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldcat.schemas import METADATA
@@ -30,171 +30,192 @@ IMPORT_DESCRIPTOR_SIZE = 20
 MAX_ORDINALS = 65_536
 
 # Descriptors looked at before the rest of a file is searched for the end of its import table.
-_FEW_DESCRIPTORS = 64
+_FEW_DESCRIPTORS = 32
 
 
 def pe_metadata(df: DataFrame, content: str = "content") -> DataFrame:
     """Replace ``content`` by architecture, num_imports, num_exports, type and status.
 
-    The steps are separate projections so that shared intermediate values are computed once.
+    A NULL content gives NULLs. The header steps are plain projections that compile into one stage.
+    Only what loops over a table needs higher-order functions, which Spark interprets: there the
+    content is bound to a lambda variable first, so that it is taken out of its row once and not once
+    per read.
     """
-    body = F.col(content)
-    steps = df.withColumn("_nt", _nt_offset(body))
-    steps = steps.withColumn("_h", _headers(body, F.col("_nt")))
-    steps = steps.withColumn("_sections", _sections(body, F.col("_h")))
-    steps = steps.withColumn("_export", _mapped(body, F.col("_h.export_rva")))
-    steps = steps.withColumn("_import", _mapped(body, F.col("_h.import_rva")))
-    steps = steps.withColumn("_exports", _export_table(body, F.col("_export")))
-    valid = F.col("_h.magic").isNotNull()
-    has_export = F.col("_exports").isNotNull()
+    steps = df.withColumn("_body", F.col(content))
+    for name, value in {
+        "_nt": _nt_offset(),
+        "_coff": _coff(),
+        "_h": _headers(),
+        "_slots": _slots(),
+        "_headers": _section_headers(),
+        "_sections": _sections(),
+        "_import_at": _mapped(_directory("import")),
+        "_export_at": _mapped(_directory("export")),
+        "_found": _let([("body", "_body")], _counts()),
+    }.items():
+        steps = steps.withColumn(name, F.expr(value))
+    known = "WHEN _body IS NULL THEN NULL WHEN _h.magic IS NULL THEN"
     results = {
-        "architecture": F.when(F.col("_h.machine") == MACHINE_AMD64, "x64").otherwise("x32"),
-        "num_imports": F.when(
-            F.col("_import").isNotNull(), _count_descriptors(body, F.col("_import"))
-        ).otherwise(0),
-        "num_exports": F.when(has_export, _count_symbols(body, F.col("_exports"))).otherwise(0),
-        "type": F.when(has_export, "dll").otherwise("exe"),
-        "status": F.lit("EXTRACTED"),
+        "architecture": f"CASE {known} NULL WHEN _h.machine = {MACHINE_AMD64} THEN 'x64' ELSE 'x32' END",
+        "num_imports": f"CASE {known} NULL ELSE _found.imports END",
+        "num_exports": f"CASE {known} NULL ELSE coalesce(_found.exports, 0) END",
+        "type": f"CASE {known} NULL WHEN _found.exports IS NULL THEN 'exe' ELSE 'dll' END",
+        "status": f"CASE {known} 'ERROR' ELSE 'EXTRACTED' END",
     }
     kept = [name for name in df.columns if name != content]
-    return steps.select(
-        *kept,
-        *[
-            F.when(valid, results[field.name])
-            .otherwise(F.lit("ERROR") if field.name == "status" else F.lit(None))
-            .cast(field.dataType)
-            .alias(field.name)
-            for field in METADATA.fields
-        ],
+    fields = [F.expr(results[f.name]).cast(f.dataType).alias(f.name) for f in METADATA.fields]
+    return steps.select(*kept, *fields)
+
+
+def _let(values: list[tuple[str, str]], use: str) -> str:
+    """``use`` with each name standing for its value, computed once; later values see earlier names."""
+    for name, value in reversed(values):
+        use = f"get(transform(array({value}), {name} -> {use}), 0)"
+    return use
+
+
+def _bytes(body: str, offset: str, width: str | int) -> str:
+    """``width`` bytes of ``body`` at a zero-based offset, NULL if they are not all there."""
+    return (
+        f"CASE WHEN {offset} >= 0 AND {offset} + {width} <= octet_length({body}) "
+        f"THEN substring({body}, cast({offset} + 1 AS int), cast({width} AS int)) END"
     )
 
 
-def _bytes_at(body: Column, offset: Column, width: int) -> Column:
-    """``width`` bytes at a zero-based bigint offset, NULL if they are not all there."""
-    inside = (offset >= 0) & (offset + width <= F.octet_length(body))
-    return F.when(inside, F.substring(body, (offset + 1).cast("int"), F.lit(width)))
+def _record(body: str, offset: str, width: str | int) -> str:
+    """Hex digits of a little-endian record, last byte first, so that its numbers read forward."""
+    text = f"decode({_bytes(body, offset, width)}, 'ISO-8859-1')"
+    return f"hex(encode(reverse({text}), 'ISO-8859-1'))"
 
 
-def _number_at(body: Column, offset: Column, width: int) -> Column:
-    """Little-endian unsigned number of 2 or 4 bytes, as bigint."""
-    digits = F.hex(_bytes_at(body, offset, width))
-    low_first = F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(width))])
-    return F.conv(low_first, 16, 10).cast("bigint")
+def _field(record: str, size: str | int, offset: str | int, width: int) -> str:
+    """Unsigned number at ``offset`` of a record of ``size`` bytes."""
+    start = f"cast(2 * ({size} - ({offset}) - {width}) + 1 AS int)"
+    return f"cast(conv(substring({record}, {start}, {2 * width}), 16, 10) AS bigint)"
 
 
-def _nt_offset(body: Column) -> Column:
-    """Where the PE signature is, NULL if the file is not a PE."""
-    offset = _number_at(body, _at(NT_OFFSET_AT), 4)
-    dos = _bytes_at(body, _at(0), DOS_HEADER_SIZE).isNotNull() & (
-        _bytes_at(body, _at(0), 2) == F.lit(DOS_MAGIC)
-    )
-    return F.when(dos & (_bytes_at(body, offset, 4) == F.lit(NT_SIGNATURE)), offset)
-
-
-def _headers(body: Column, nt: Column) -> Column:
-    coff = nt + len(NT_SIGNATURE)
-    optional = coff + COFF_HEADER_SIZE
-    magic = _number_at(body, optional, 2)
-    table = F.when(magic == MAGIC_PE32_PLUS, DIRECTORIES_AT_PE32_PLUS).otherwise(DIRECTORIES_AT_PE32)
-    count = _number_at(body, optional + table - 4, 4)
-
-    def directory(index: int) -> Column:
-        rva = _number_at(body, optional + table + DIRECTORY_SIZE * index, 4)
-        return F.when((count > index) & (rva > 0), rva)
-
-    return F.struct(
-        _number_at(body, coff, 2).alias("machine"),
-        _number_at(body, coff + 2, 2).alias("num_sections"),
-        (optional + _number_at(body, coff + 16, 2)).alias("sections_at"),
-        magic.alias("magic"),
-        directory(EXPORT_DIRECTORY).alias("export_rva"),
-        directory(IMPORT_DIRECTORY).alias("import_rva"),
-    )
+def _number(body: str, offset: str, width: int) -> str:
+    return _field(_record(body, offset, width), width, 0, width)
+
+
+def _nt_offset() -> str:
+    """Where the PE signature should be, NULL without a whole DOS header."""
+    return f"""CASE WHEN substring(_body, 1, 2) = X'{DOS_MAGIC.hex()}'
+        AND octet_length(_body) >= {DOS_HEADER_SIZE} THEN {_number("_body", str(NT_OFFSET_AT), 4)} END"""
+
+
+def _coff() -> str:
+    """COFF header behind a PE signature, NULL if there is none."""
+    signature = _bytes("_body", "_nt", len(NT_SIGNATURE))
+    header = _record("_body", f"(_nt + {len(NT_SIGNATURE)})", COFF_HEADER_SIZE)
+    return f"CASE WHEN {signature} = X'{NT_SIGNATURE.hex()}' THEN {header} END"
+
+
+def _headers() -> str:
+    optional = f"(_nt + {len(NT_SIGNATURE) + COFF_HEADER_SIZE})"
+    return f"""named_struct(
+        'machine', {_field("_coff", COFF_HEADER_SIZE, 0, 2)},
+        'num_sections', {_field("_coff", COFF_HEADER_SIZE, 2, 2)},
+        'sections_at', {optional} + {_field("_coff", COFF_HEADER_SIZE, 16, 2)},
+        'optional_at', {optional},
+        'magic', CASE WHEN _coff IS NOT NULL THEN {_number("_body", optional, 2)} END)"""
+
+
+def _slots() -> str:
+    """The directory count, and the export and import slots as far as the file has them."""
+    first = f"""_h.optional_at + CASE WHEN _h.magic = {MAGIC_PE32_PLUS}
+        THEN {DIRECTORIES_AT_PE32_PLUS} ELSE {DIRECTORIES_AT_PE32} END"""
+    return f"""named_struct(
+        'number', {_number("_body", f"({first} - 4)", 4)},
+        'export', {_number("_body", f"({first} + {DIRECTORY_SIZE * EXPORT_DIRECTORY})", 4)},
+        'import', {_number("_body", f"({first} + {DIRECTORY_SIZE * IMPORT_DIRECTORY})", 4)})"""
+
 
+def _directory(slot: str) -> str:
+    """RVA of a directory, NULL if it is absent."""
+    index = {"export": EXPORT_DIRECTORY, "import": IMPORT_DIRECTORY}[slot]
+    rva = f"_slots.`{slot}`"
+    return f"(CASE WHEN _h.magic IS NOT NULL AND _slots.number > {index} AND {rva} > 0 THEN {rva} END)"
 
-def _sections(body: Column, headers: Column) -> Column:
-    """Array of (start, end, file) of the sections that can be read."""
 
-    def section(index: Column) -> Column:
-        at = headers["sections_at"] + index * SECTION_HEADER_SIZE
-        start = _number_at(body, at + 12, 4)
-        in_memory, in_file = _number_at(body, at + 8, 4), _number_at(body, at + 16, 4)
-        return F.struct(
-            start.alias("start"),
-            (start + F.greatest(in_memory, in_file)).alias("end"),
-            _number_at(body, at + 20, 4).alias("file"),
-        )
+def _section_headers() -> str:
+    """The section headers that are in the file, as one record."""
+    fitting = f"(octet_length(_body) - _h.sections_at) div {SECTION_HEADER_SIZE}"
+    size = f"({SECTION_HEADER_SIZE} * greatest(least(_h.num_sections, {fitting}), 0))"
+    return _record("_body", "_h.sections_at", size)
 
-    fitting = (F.octet_length(body) - headers["sections_at"]) / SECTION_HEADER_SIZE
-    return F.transform(_indexes(F.least(headers["num_sections"], F.floor(fitting))), section)
 
+def _sections() -> str:
+    """Array of (begin, end, file) of the sections."""
+    size = "(length(_headers) div 2)"
 
-def _mapped(body: Column, rva: Column) -> Column:
+    def field(offset: int) -> str:
+        return _field("_headers", size, f"i * {SECTION_HEADER_SIZE} + {offset}", 4)
+
+    section = f"""named_struct(
+        'begin', {field(12)},
+        'end', {field(12)} + greatest({field(8)}, {field(16)}),
+        'file', {field(20)})"""
+    return f"transform({_indexes(f'{size} div {SECTION_HEADER_SIZE}')}, i -> {section})"
+
+
+def _mapped(rva: str) -> str:
     """File offset of an RVA; one that no section covers is taken as an offset into the file."""
-    cover = F.get(
-        F.filter("_sections", lambda s: (s["start"] <= rva) & (rva < s["end"])), F.lit(0)
-    )
-    offset = F.when(cover.isNotNull(), rva - cover["start"] + cover["file"]).otherwise(rva)
-    return F.when(offset < F.octet_length(body), offset)
-
-
-def _export_table(body: Column, at: Column) -> Column:
-    """Counts and places of the export tables, NULL if there is no export directory."""
-    whole = _bytes_at(body, at, EXPORT_TABLE_SIZE).isNotNull()
-    return F.when(
-        whole,
-        F.struct(
-            _number_at(body, at + 20, 4).alias("functions"),
-            _number_at(body, at + 24, 4).alias("names"),
-            _mapped(body, _number_at(body, at + 28, 4)).alias("addresses_at"),
-            _mapped(body, _number_at(body, at + 36, 4)).alias("ordinals_at"),
-        ),
+    covering = f"filter(_sections, s -> s.`begin` <= {rva} AND {rva} < s.`end`)"
+    return f"coalesce(get(transform({covering}, s -> {rva} - s.`begin` + s.file), 0), {rva})"
+
+
+def _counts() -> str:
+    """Struct of imports and exports; exports is NULL without an export directory."""
+    exports = _let(
+        [("record", _record("body", "_export_at", EXPORT_TABLE_SIZE)), ("x", _export_table())],
+        f"CASE WHEN record IS NOT NULL THEN {_count_symbols()} END",
     )
+    return f"named_struct('imports', {_count_imports()}, 'exports', {exports})"
 
 
-def _count_symbols(body: Column, exports: Column) -> Column:
-    """Named symbols, plus functions with an address that no name refers to."""
+def _export_table() -> str:
+    """Counts and places of the export tables."""
 
-    def readable(count: Column, at: Column, width: int) -> Column:
-        fitting = F.floor((F.octet_length(body) - at) / width)
-        return _indexes(F.coalesce(F.least(count, fitting, _at(MAX_ORDINALS)), _at(0)))
+    def field(offset: int) -> str:
+        return _field("record", EXPORT_TABLE_SIZE, offset, 4)
 
-    named = F.transform(
-        readable(exports["names"], exports["ordinals_at"], 2),
-        lambda i: _number_at(body, exports["ordinals_at"] + i * 2, 2),
-    )
-    live = F.filter(
-        readable(exports["functions"], exports["addresses_at"], 4),
-        lambda i: _number_at(body, exports["addresses_at"] + i * 4, 4) > 0,
-    )
-    return F.size(named) + F.size(F.array_except(live, named))
+    return f"""named_struct(
+        'functions', {field(20)}, 'names', {field(24)},
+        'addresses_at', {_mapped(field(28))}, 'ordinals_at', {_mapped(field(36))})"""
 
 
-def _count_descriptors(body: Column, at: Column) -> Column:
-    """Import descriptors before the all-zero one, or before the end of the file."""
-    fitting = F.floor((F.octet_length(body) - at) / IMPORT_DESCRIPTOR_SIZE)
-    zero = F.lit(bytes(IMPORT_DESCRIPTOR_SIZE))
+def _count_symbols() -> str:
+    """Named symbols, plus functions with an address that no name refers to."""
 
-    def end_within(count: Column) -> Column:
-        ended = F.transform(
-            _indexes(count),
-            lambda i: _bytes_at(body, at + i * IMPORT_DESCRIPTOR_SIZE, IMPORT_DESCRIPTOR_SIZE) == zero,
-        )
-        return F.array_position(ended, True)
+    def readable(count: str, at: str, width: int) -> str:
+        fitting = f"(octet_length(body) - {at}) div {width}"
+        return f"greatest(least({count}, {fitting}, {MAX_ORDINALS}), 0)"
 
-    soon = end_within(F.least(fitting, _at(_FEW_DESCRIPTORS)))
-    late = end_within(fitting)
-    return F.when(soon > 0, soon - 1).when(late > 0, late - 1).otherwise(fitting)
+    names = readable("x.names", "x.ordinals_at", 2)
+    ordinal = _number("body", "(x.ordinals_at + i * 2)", 2)
+    address = _bytes("body", "(x.addresses_at + i * 4)", 4)
+    functions = _indexes(readable("x.functions", "x.addresses_at", 4))
+    live = f"filter({functions}, i -> {address} != X'{bytes(4).hex()}')"
+    return f"{names} + size(array_except({live}, transform({_indexes(names)}, i -> {ordinal})))"
 
 
-def _indexes(count: Column) -> Column:
-    """Array 0 .. count-1 of bigint."""
-    return F.when(count > 0, F.sequence(_at(0), count - 1)).otherwise(
-        F.array().cast("array<bigint>")
-    )
+def _count_imports() -> str:
+    """Import descriptors before the all-zero one, or before the end of the file."""
+    room = f"greatest((octet_length(body) - _import_at) div {IMPORT_DESCRIPTOR_SIZE}, 0)"
+    descriptor = _bytes("body", f"(_import_at + i * {IMPORT_DESCRIPTOR_SIZE})", IMPORT_DESCRIPTOR_SIZE)
+    is_end = f"{descriptor} = X'{bytes(IMPORT_DESCRIPTOR_SIZE).hex()}'"
 
+    def end_within(count: str) -> str:
+        """Index of the all-zero descriptor, NULL if it is not there."""
+        return f"get(filter({_indexes(count)}, i -> {is_end}), 0)"
 
-def _at(value: int) -> Column:
-    return F.lit(value).cast("bigint")
+    few = end_within(f"least({room}, {_FEW_DESCRIPTORS})")
+    late = f"if({room} > {_FEW_DESCRIPTORS}, {end_within(room)}, NULL)"
+    return f"if(_import_at IS NULL, 0, coalesce({few}, {late}, {room}))"
 
 
+def _indexes(count: str) -> str:
+    """Array 0 .. count-1 of bigint."""
+    empty = "cast(array() AS array<bigint>)"
+    return f"if({count} > 0, sequence(0L, cast({count} - 1 AS bigint)), {empty})"
