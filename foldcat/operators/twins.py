@@ -38,6 +38,18 @@ def representatives(extracted: DataFrame) -> DataFrame:
     return extracted.groupBy(CONTENT_KEY).agg(chosen).select(CONTENT_KEY, "_row.*")
 
 
+def known_twins(batch: DataFrame, extracted: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """One extracted row for each hash of the batch that has any.
+
+    For a bounded batch the extracted table is filtered before it is aggregated. Otherwise it is
+    aggregated first: its partial results and the batch's hashes then meet in one shuffle each, with
+    one row per hash on both sides.
+    """
+    if batch_rows is not None and batch_rows <= BOUNDED_ROWS:
+        return representatives(matching_rows(batch, extracted, batch_rows))
+    return representatives(extracted).join(distinct_hashes(batch), CONTENT_KEY, "left_semi")
+
+
 def carry_metadata(
     batch: DataFrame, known: DataFrame, as_of: str | None = None, parts: int = HASH_PARTS
 ) -> DataFrame:

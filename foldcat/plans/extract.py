@@ -7,12 +7,8 @@ from pyspark.sql import DataFrame
 from foldcat.operators.backlog import balanced_batch, unprocessed_batch
 from foldcat.operators.content import fan_out, one_per_hash
 from foldcat.operators.lookup import parts_for
-from foldcat.operators.twins import (
-    carry_metadata,
-    matching_rows,
-    remaining_files,
-    representatives,
-)
+from foldcat.operators.twins import carry_metadata, known_twins, remaining_files
+from foldcat.schemas import EXTRACTED, enforce_schema
 from foldcat.sources.objects import Extract
 from foldcat.staging import cut
 
@@ -63,11 +59,12 @@ def extract_batch(
 
     The batch and its twins are computed once and kept: appending the result to ``extracted`` cannot
     change what later steps see, and each table is scanned once per use. The result is one frame, to
-    be written in one append.
+    be written in one append. It fails on a file that the extractor gave no result for.
     """
     parts = parts_for(rows)
     batch = cut(batch)
-    known = cut(representatives(matching_rows(batch, extracted, rows)))
+    known = cut(known_twins(batch, extracted, rows))
     carried = carry_metadata(batch, known, as_of, parts)
     remaining = remaining_files(batch, known, parts)
-    return carried.unionByName(dedup_extract(remaining, extract, as_of, rows))
+    parsed = dedup_extract(remaining, extract, as_of, rows)
+    return enforce_schema(carried.unionByName(parsed), EXTRACTED)

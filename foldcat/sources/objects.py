@@ -55,18 +55,18 @@ def extract_from_store(root: str, tasks: int | None = None) -> Extract:
 def extract_from_contents(contents: DataFrame, rows: int | None = None) -> Extract:
     """Extract from a frame (name, content), never moving a body through a shuffle.
 
-    ``rows`` is a proven bound on the files to extract. Under it their names are broadcast and only
+    ``rows`` is a proven bound on the files to extract. Under it the files are broadcast and only
     their bodies are parsed. Otherwise every body is parsed where it is scanned, and the narrow result
-    joins the files. A file without a body fails the job.
+    joins the files.
     """
 
     def run(files: DataFrame) -> DataFrame:
-        wanted = contents.select("name", "content")
+        bodies = contents.select("name", "content")
         if rows is not None and rows <= BOUNDED_ROWS:
-            wanted = wanted.join(F.broadcast(files.select("name")), "name", "left_semi")
-        parsed = files.join(pe_metadata(wanted), "name", "left")
-        absent = F.raise_error(F.concat(F.lit("no content for "), "name")).cast("string")
-        return parsed.withColumn("status", F.coalesce("status", absent))
+            parsed = pe_metadata(bodies.join(F.broadcast(files), "name"))
+        else:
+            parsed = pe_metadata(bodies).join(files, "name")
+        return parsed.select(*LISTING.names, *METADATA.names)
 
     return run
 

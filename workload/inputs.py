@@ -21,11 +21,15 @@ SYNCED_LAST_AT = "2023-12-03 00:00:00"
 EXTRACTED_AT = "2023-12-05 00:00:00"
 AS_OF = "2023-12-06 00:00:00"
 
-DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+# The given tables; stating the schema spares a job that reads file footers.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def object_name() -> Column:
@@ -33,9 +37,10 @@ def object_name() -> Column:
     return F.concat_ws("/", folder, "source", F.col("doc_id").cast("string"))
 
 
-def raw_listing(documents: DataFrame) -> DataFrame:
+def raw_listing(documents: DataFrame, *kept: str) -> DataFrame:
     """One (Key, ETag, Size) row per document, the ETag in quotes as object stores give it."""
     return documents.select(
+        *kept,
         object_name().alias("Key"),
         F.concat(F.lit('"'), F.md5("text"), F.lit('"')).alias("ETag"),
         F.octet_length("text").cast("bigint").alias("Size"),
@@ -54,20 +59,11 @@ def storage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _by_label(spark: SparkSession, sf_dir: str, condition: str) -> DataFrame:
     """Listing rows of the documents whose label meets the condition."""
-    documents = table(spark, sf_dir, "documents")
-    rows = documents.select("doc_id", *raw_listing_columns(documents))
+    rows = raw_listing(table(spark, sf_dir, "documents"), "doc_id")
     chosen = table(spark, sf_dir, "labels").filter(condition).select("doc_id")
     return label_listing(rows.join(chosen, "doc_id", "left_semi"))
 
 
-def raw_listing_columns(documents: DataFrame) -> list[Column]:
-    return [
-        object_name().alias("Key"),
-        F.md5("text").alias("ETag"),
-        F.octet_length("text").alias("Size"),
-    ]
-
-
 def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results of an earlier run: the documents of good quality."""
     done = _by_label(spark, sf_dir, "quality = 1")
@@ -99,71 +95,51 @@ def binaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = table(spark, sf_dir, "documents").select(
         object_name().alias("name"), F.md5("text").alias("hash"), "text"
     )
-    return named.select("name", "hash", binary_of(F.col("text")).alias("content"))
+    return named.select("name", "hash", binary_of("text").alias("content"))
 
 
-def binary_of(text: Column) -> Column:
+def binary_of(text: str) -> Column:
     """A PE file shaped by the digits of ``hash`` with the text behind its sections.
 
     First digit f: the text alone, which is no PE. The layout is that of the published format: headers,
     one section at RVA 0x1000 and file offset 0x200, in it the export directory, its address and
     ordinal tables at +0x40 and +0x80, and the import descriptors at +0x100.
     """
-    h1, h2, h3, h4 = (_digit(i) for i in range(1, 5))
-    wide = h1 % 2 == 0
-    dll = h3 % 2 == 0
-    other = F.when(h1 % 4 == 1, _le(0x014C, 2)).otherwise(_le(0xAA64, 2))
-    dos = F.concat(F.lit("4D5A"), _zeros(58), _le(64, 4))
-    coff = F.concat(
-        F.hex(F.lit(pe.NT_SIGNATURE)),
-        F.when(wide, _le(pe.MACHINE_AMD64, 2)).otherwise(other),
-        _le(1, 2),
-        _zeros(12),
-        F.when(wide, _le(240, 2)).otherwise(_le(224, 2)),
-        _zeros(2),
-    )
-    optional = F.concat(
-        F.when(wide, F.concat(_le(0x20B, 2), _zeros(106))).otherwise(
-            F.concat(_le(0x10B, 2), _zeros(90))
-        ),
-        _le(16, 4),
-        F.when(dll, F.concat(_le(0x1000, 4), _le(40, 4))).otherwise(_zeros(8)),
-        F.when(h2 > 0, F.concat(_le(0x1100, 4), _byte(20 * (h2 + 1) % 256), _byte(F.floor(20 * (h2 + 1) / 256)), _zeros(2))).otherwise(_zeros(8)),
-        _zeros(14 * pe.DIRECTORY_SIZE),
-    )
-    section = F.concat(
-        F.hex(F.lit(b".rdata\x00\x00")),
-        _le(0x400, 4), _le(0x1000, 4), _le(0x400, 4), _le(0x200, 4), _zeros(16),
-    )
-    exports = F.concat(
-        _zeros(16), _le(1, 4), _byte(h4), _zeros(3), _byte(h4), _zeros(3),
-        _le(0x1040, 4), _zeros(4), _le(0x1080, 4),
+    h1, h2, h3, h4 = (f"cast(conv(substring(hash, {i}, 1), 16, 10) AS int)" for i in range(1, 5))
+    wide, dll = f"{h1} % 2 = 0", f"{h3} % 2 = 0"
+    other = f"if({h1} % 4 = 1, {_le(0x014C, 2)}, {_le(0xAA64, 2)})"
+    dos = f"'4D5A', {_zeros(58)}, {_le(64, 4)}"
+    coff = f"""'{pe.NT_SIGNATURE.hex()}', if({wide}, {_le(pe.MACHINE_AMD64, 2)}, {other}), {_le(1, 2)},
+        {_zeros(12)}, if({wide}, {_le(240, 2)}, {_le(224, 2)}), {_zeros(2)}"""
+    import_size = f"lpad(hex(20 * ({h2} + 1)), 4, '0')"
+    optional = f"""if({wide}, concat({_le(0x20B, 2)}, {_zeros(106)}), concat({_le(0x10B, 2)}, {_zeros(90)})),
+        {_le(16, 4)},
+        if({dll}, concat({_le(0x1000, 4)}, {_le(40, 4)}), {_zeros(8)}),
+        if({h2} > 0, concat({_le(0x1100, 4)}, right({import_size}, 2), left({import_size}, 2), {_zeros(2)}),
+           {_zeros(8)}),
+        {_zeros(14 * pe.DIRECTORY_SIZE)}"""
+    section = f"""'{b".rdata".ljust(8, bytes(1)).hex()}', {_le(0x400, 4)}, {_le(0x1000, 4)},
+        {_le(0x400, 4)}, {_le(0x200, 4)}, {_zeros(16)}"""
+    count = f"lpad(hex({h4}), 2, '0'), {_zeros(3)}"
+    exports = f"""{_zeros(16)}, {_le(1, 4)}, {count}, {count}, {_le(0x1040, 4)}, {_zeros(4)}, {_le(0x1080, 4)}"""
+    addresses = f"repeat({_le(0x1200, 4)}, {h4})"
+    ordinals = f"left('{''.join(f'{i:02x}00' for i in range(16))}', 4 * {h4})"
+    imports = f"repeat({_le(0x01010101, 4)}, 5 * {h2})"
+    head = f"rpad(concat({dos}, {coff}, {optional}, {section}), {2 * 0x200}, '0')"
+    parts = [(f"concat({exports})", 0x40), (addresses, 0x40), (ordinals, 0x80), (imports, 0x300)]
+    body = ", ".join(f"rpad({part}, {2 * width}, '0')" for part, width in parts)
+    return F.expr(
+        f"""if({h1} = 15, cast({text} AS binary),
+                concat(unhex(concat({head}, {body})), cast({text} AS binary)))"""
     )
-    addresses = _padded(F.repeat(_le(0x1200, 4), h4), 0x40)
-    ordinals = _padded(
-        F.concat_ws("", F.transform(F.sequence(F.lit(0), h4), lambda i: F.rpad(_byte(i), 4, "0"))), 0x80
-    )
-    imports = F.repeat(_le(0x01010101, 4), 5 * h2)
-    head = _padded(F.concat(dos, coff, optional, section), 0x200)
-    body = _padded(F.concat(_padded(exports, 0x40), addresses, ordinals, imports), 0x400)
-    whole = F.concat(F.unhex(F.concat(head, body)), text.cast("binary"))
-    return F.when(h1 == 15, text.cast("binary")).otherwise(whole)
-
-
-def _le(value: int, width: int) -> Column:
-    return F.lit(value.to_bytes(width, "little").hex())
-
-
-def _byte(value: Column) -> Column:
-    return F.lpad(F.hex(value.cast("int")), 2, "0")
 
 
-def _zeros(width: int) -> Column:
-    return F.lit("00" * width)
+def _le(value: int, width: int) -> str:
+    return f"'{value.to_bytes(width, 'little').hex()}'"
 
 
-def _padded(digits: Column, width: int) -> Column:
-    return F.rpad(digits, 2 * width, "0")
+def _zeros(width: int) -> str:
+    return f"'{'00' * width}'"
 
 
 def catalogue_before(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from foldcat.schemas import EXTRACTED, FILE_KEY, STORAGE
 from foldcat.sources import tables
 from foldcat.sources.listing import label_listing, list_objects
 from foldcat.sources.objects import extract_from_contents, extract_rows
-from foldcat.staging import fresh_path
+from foldcat.staging import cut, fresh_path
 from foldcat.streaming.pages import fold_pages, sync_pages
 from workload import inputs
 
@@ -119,8 +119,9 @@ def pe_metadata_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole backlog, without looking for known twins."""
     extract = extract_from_contents(inputs.binaries(spark, sf_dir))
-    return plans.dedup_extract(unprocessed_anti(spark, sf_dir), extract, inputs.AS_OF)
+    return plans.dedup_extract(cut(unprocessed_anti(spark, sf_dir)), extract, inputs.AS_OF)
 
 
 def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +169,7 @@ def microbatch_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing as a stream of pages, folded into the earlier catalogue."""
     log = fresh_path(spark, "pages")
     documents = (
-        spark.readStream.schema(inputs.DOCUMENTS)
+        spark.readStream.schema(inputs.SCHEMAS["documents"])
         .option("maxFilesPerTrigger", 1)
         .parquet(f"{sf_dir}/documents.parquet*")
     )
