@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+import foldcat
+
+# Functions of this package travel with the job, so workers need not have it installed.
+cloudpickle.register_pickle_by_value(foldcat)
+
 _MAX_ROWS = 1_000
 _MAX_BYTES = 32 * 1024 * 1024
 

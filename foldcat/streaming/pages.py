@@ -16,12 +16,14 @@ from foldcat.schemas import STORAGE
 from foldcat.sources.listing import RAW_SCHEMA, label_listing, object_key
 
 PAGE_SIZE = 1000
+_BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_objects(spark: SparkSession, root: str, page_size: int = PAGE_SIZE) -> DataFrame:
     """New objects under ``root`` as raw listing rows, ``page_size`` per micro-batch."""
     files = (
         spark.readStream.format("binaryFile")
+        .schema(_BINARY_FILE)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", page_size)
         .load(root)

@@ -1,0 +1,121 @@
+"""Header metadata: the compiled expressions and the Python extractor against known files."""
+
+from __future__ import annotations
+
+import random
+import struct
+
+import pe_files
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from foldcat.functions.pe import pe_metadata
+from foldcat.functions.pe_python import ExtractionError, extract_pe, reader_of
+from foldcat.schemas import METADATA
+
+ERROR = (None, None, None, None, "ERROR")
+
+
+def by_python(body):
+    try:
+        found = extract_pe(reader_of(body), len(body))
+    except ExtractionError:
+        return ERROR
+    return tuple(found[name] for name in METADATA.names)
+
+
+def by_spark(spark, bodies):
+    rows = [(i, bytearray(body)) for i, body in enumerate(bodies)]
+    found = pe_metadata(spark.createDataFrame(rows, "i int, content binary"))
+    assert found.columns == ["i", *METADATA.names]
+    return [tuple(row)[1:] for row in found.orderBy("i").collect()]
+
+
+DLL = ([16, 0, 32, 48], [0, 2])
+CASES = {
+    "golden dll": (pe_files.GOLDEN_DLL, ("x64", 7, 6, "dll", "EXTRACTED")),
+    "golden exe": (pe_files.GOLDEN_EXE, ("x32", 21, 0, "exe", "EXTRACTED")),
+    "invalid": (b"invalid", ERROR),
+    "empty": (b"", ERROR),
+    "arm is x32": (pe_files.build(0xAA64), ("x32", 0, 0, "exe", "EXTRACTED")),
+    "unnamed and unused ordinals": (pe_files.build(exports=DLL), ("x64", 0, 3, "dll", "EXTRACTED")),
+    "two names for one function": (
+        pe_files.build(exports=([16], [0, 0])), ("x64", 0, 2, "dll", "EXTRACTED"),
+    ),
+    "export directory without symbols": (
+        pe_files.build(exports=([], [])), ("x64", 0, 0, "dll", "EXTRACTED"),
+    ),
+    "no directories": (
+        pe_files.build(imports=3, exports=DLL, directories=0), ("x64", 0, 0, "exe", "EXTRACTED"),
+    ),
+    "only the export directory": (
+        pe_files.build(imports=3, exports=DLL, directories=1), ("x64", 0, 3, "dll", "EXTRACTED"),
+    ),
+    "imports up to the end of the file": (
+        pe_files.build(imports=5, end_imports=False), ("x64", 5, 0, "exe", "EXTRACTED"),
+    ),
+    "more imports than are looked at first": (
+        pe_files.build(imports=90), ("x64", 90, 0, "exe", "EXTRACTED"),
+    ),
+    "many sections": (
+        pe_files.build(imports=2, other_sections=12), ("x64", 2, 0, "exe", "EXTRACTED"),
+    ),
+    "overlay": (
+        pe_files.build(imports=2, overlay=b"text" * 500), ("x64", 2, 0, "exe", "EXTRACTED"),
+    ),
+    "DOS header only": (pe_files.GOLDEN_DLL[:64], ERROR),
+    "no room for the optional header": (pe_files.GOLDEN_DLL[: 0x80 + 24], ERROR),
+    "signature past the end": (struct.pack("<2s58xI", b"MZ", 2**31 + 5) + bytes(100), ERROR),
+    "not MZ": (b"ZM" + pe_files.GOLDEN_DLL[2:], ERROR),
+    "NE file": (pe_files.GOLDEN_DLL.replace(b"PE\x00\x00", b"NE\x00\x00", 1), ERROR),
+    "headers only": (pe_files.GOLDEN_DLL[:0x400], ("x64", 0, 0, "exe", "EXTRACTED")),
+}
+
+
+def test_cases_in_spark(spark):
+    found = by_spark(spark, [body for body, _ in CASES.values()])
+    assert dict(zip(CASES, found)) == {name: want for name, (_, want) in CASES.items()}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_cases_in_python(name):
+    body, want = CASES[name]
+    assert by_python(body) == want
+
+
+def test_null_content_gives_nulls(spark):
+    frame = spark.createDataFrame([(None,)], "content binary")
+    assert tuple(pe_metadata(frame).first()) == (None,) * 5
+
+
+def test_both_agree_on_damaged_files(spark):
+    """Truncations and random bytes anywhere: no failure, and equal answers."""
+    rng = random.Random(7)
+    bodies = []
+    for _ in range(250):
+        source = rng.choice([pe_files.GOLDEN_DLL, pe_files.GOLDEN_EXE, pe_files.build(exports=DLL, imports=40)])
+        body = bytearray(source[: rng.randrange(len(source) + 1)] if rng.random() < 0.3 else source)
+        for _ in range(rng.randrange(6)):
+            spot = rng.choice([rng.randrange(0x200), 0x400 + rng.randrange(0x60), 0xC00 + rng.randrange(99)])
+            if spot < len(body):
+                body[spot] = rng.randrange(256)
+        bodies.append(bytes(body))
+    assert by_spark(spark, bodies) == [by_python(body) for body in bodies]
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    imports=st.integers(0, 90),
+    addresses=st.lists(st.integers(0, 3), max_size=60),
+    named=st.data(),
+    wide=st.booleans(),
+    dll=st.booleans(),
+)
+def test_python_counts_what_was_built(imports, addresses, named, wide, dll):
+    ordinals = named.draw(st.lists(st.integers(0, max(0, len(addresses) - 1)), max_size=40))
+    exports = (addresses, ordinals) if dll else None
+    body = pe_files.build(0x8664 if wide else 0x14C, 0x20B if wide else 0x10B, imports, exports)
+    unnamed = sum(1 for i, a in enumerate(addresses) if a and i not in ordinals)
+    want = ("dll", len(ordinals) + unnamed) if dll else ("exe", 0)
+    assert by_python(body) == ("x64" if wide else "x32", imports, want[1], want[0], "EXTRACTED")
