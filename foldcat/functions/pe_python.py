@@ -24,6 +24,21 @@ def reader_of(body: bytes) -> ReadAt:
     return lambda offset, width: body[offset : offset + width]
 
 
+def in_blocks(read: ReadAt, size: int) -> ReadAt:
+    """The same reads, made of whole blocks that are fetched once."""
+    blocks: dict[int, bytes] = {}
+
+    def read_blocks(offset: int, width: int) -> bytes:
+        first, last = offset // size, (offset + width - 1) // size
+        for index in range(first, last + 1):
+            if index not in blocks:
+                blocks[index] = read(index * size, size)
+        joined = b"".join(blocks[index] for index in range(first, last + 1))
+        return joined[offset - first * size :][:width]
+
+    return read_blocks
+
+
 def extract_pe(read: ReadAt, length: int) -> dict:
     def number(offset: int, width: int) -> int | None:
         raw = read(offset, width) if 0 <= offset else b""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import batched
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -25,13 +27,15 @@ def map_rows(
     added: T.StructType,
     errors: tuple[type[Exception], ...] = (),
     drop: tuple[str, ...] = (),
+    in_flight: int = 1,
 ) -> DataFrame:
     """Add the columns ``added`` with a function that maps a row to their values.
 
     ``open_function`` runs once per partition, for clients and settings. A row for which the function
     gives None is left out. An exception of a class in ``errors`` gives a row with status ERROR and
     NULL in the other added columns; any other one fails the task. Rows stream through: a partition is
-    never held whole, and an output batch is closed when it gets large.
+    never held whole, and an output batch is closed when it gets large. ``in_flight`` > 1 calls the
+    function for that many rows at a time in threads, for functions that wait for a store.
     """
     kept = [field for field in df.schema.fields if field.name not in drop]
     schema = T.StructType([*kept, *added.fields])
@@ -41,20 +45,24 @@ def map_rows(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow_schema = to_arrow_schema(schema)
         function = open_function()
+
+        def added_to(row: dict) -> dict | None:
+            try:
+                values = function(row)
+            except errors:
+                values = failed
+            if values is None:
+                return None
+            return {n: row[n] for n in kept_names} | {n: values.get(n) for n in added_names}
+
         rows: list[dict] = []
         held = 0
-        for batch in batches:
-            for one in _row_slices(batch):
-                try:
-                    values = function(one)
-                except errors:
-                    values = failed
-                if values is None:
-                    continue
-                row = {name: one[name] for name in kept_names}
-                row.update((name, values.get(name)) for name in added_names)
-                rows.append(row)
-                held += sum(len(v) for v in row.values() if isinstance(v, (bytes, str)))
+        with ThreadPoolExecutor(in_flight) as pool:
+            each = map if in_flight == 1 else pool.map
+            for some in batched(_rows(batches), in_flight):
+                for row in filter(None, each(added_to, some)):
+                    rows.append(row)
+                    held += sum(len(v) for v in row.values() if isinstance(v, (bytes, str)))
                 if len(rows) >= _MAX_ROWS or held >= _MAX_BYTES:
                     yield pa.RecordBatch.from_pylist(rows, arrow_schema)
                     rows, held = [], 0
@@ -64,8 +72,9 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
-def _row_slices(batch: pa.RecordBatch) -> Iterator[dict]:
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     """Rows as dicts, made for a bounded number of bytes at a time."""
-    step = max(1, _MAX_BYTES * batch.num_rows // max(1, batch.nbytes))
-    for start in range(0, batch.num_rows, step):
-        yield from batch.slice(start, step).to_pylist()
+    for batch in batches:
+        step = max(1, _MAX_BYTES * batch.num_rows // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, step):
+            yield from batch.slice(start, step).to_pylist()

@@ -20,7 +20,7 @@ def dedup_extract(
 
     ``rows`` is a proven bound on ``files``, None if there is none.
     """
-    return fan_out(files, extract(one_per_hash(files)), as_of, parts_for(rows))
+    return fan_out(files, extract(one_per_hash(files), rows), as_of, parts_for(rows))
 
 
 def incremental_extract(

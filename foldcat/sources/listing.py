@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldcat.functions.catalogue import CLASS_BY_PREFIX, class_of, content_id, strip_quotes
+from foldcat.functions.catalogue import (
+    CLASS_BY_PREFIX,
+    class_of,
+    content_id,
+    in_prefix,
+    strip_quotes,
+)
 
 RAW_SCHEMA = "Key string, ETag string, Size bigint"
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
@@ -65,9 +73,10 @@ def read_inventory(
 def label_listing(listing: DataFrame, prefixes: dict[str, bool] | None = None) -> DataFrame:
     """Catalogue columns of a raw listing; keys under other prefixes are left out."""
     labels = CLASS_BY_PREFIX if prefixes is None else prefixes
-    return listing.select(
+    listed = reduce(or_, [in_prefix("Key", prefix) for prefix in labels])
+    return listing.filter(listed).select(
         F.col("Key").alias("name"),
         strip_quotes("ETag").alias("hash"),
         F.col("Size").cast("int").alias("size"),
         class_of("Key", labels).alias("malicious"),
-    ).filter(F.col("malicious").isNotNull())
+    )

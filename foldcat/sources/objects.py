@@ -9,16 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldcat.functions.pe import pe_metadata
-from foldcat.functions.pe_python import ExtractionError, extract_pe, reader_of
+from foldcat.functions.pe_python import ExtractionError, extract_pe, in_blocks, reader_of
 from foldcat.operators.lookup import BOUNDED_ROWS
 from foldcat.operators.partition_map import map_rows
 from foldcat.schemas import LISTING, METADATA
 
-# One file per content in (at least name, hash, size, malicious), the same with metadata columns out.
-Extract = Callable[[DataFrame], DataFrame]
+# (files, bound) -> the same files with metadata columns. Files come one per content with at least
+# name, hash, size and malicious; the bound is a proven limit on their number, None if there is none.
+Extract = Callable[[DataFrame, int | None], DataFrame]
 
+# Fetches that one task has under way at a time.
+_IN_FLIGHT = 16
+# What is read of an object at once when only its headers are wanted.
+_BLOCK = 64 * 1024
 
-def fetch_contents(files: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
+
+def fetch_contents(
+    files: DataFrame, root: str, rows: int | None = None, tasks: int | None = None
+) -> DataFrame:
     """Add the whole body of each file as ``content``; a key that is not there fails the task."""
 
     def open_store() -> Callable[[dict], dict]:
@@ -31,7 +39,7 @@ def fetch_contents(files: DataFrame, root: str, tasks: int | None = None) -> Dat
         return fetch
 
     added = T.StructType([T.StructField("content", T.BinaryType(), True)])
-    return map_rows(_spread(files, tasks), open_store, added)
+    return map_rows(_spread(files, rows, tasks), open_store, added, in_flight=_IN_FLIGHT)
 
 
 def extract_from_store(root: str, tasks: int | None = None) -> Extract:
@@ -42,25 +50,26 @@ def extract_from_store(root: str, tasks: int | None = None) -> Extract:
 
         def extract(row: dict) -> dict:
             with filesystem.open_input_file(f"{base}/{row['name']}") as body:
-                return extract_pe(lambda at, width: body.read_at(width, at), body.size())
+                read = in_blocks(lambda at, width: body.read_at(width, at), _BLOCK)
+                return extract_pe(read, body.size())
 
         return extract
 
-    def run(files: DataFrame) -> DataFrame:
-        return map_rows(_spread(files, tasks), open_store, METADATA, (ExtractionError,))
+    def run(files: DataFrame, rows: int | None = None) -> DataFrame:
+        spread = _spread(files.select(*LISTING.names), rows, tasks)
+        return map_rows(spread, open_store, METADATA, (ExtractionError,), in_flight=_IN_FLIGHT)
 
     return run
 
 
-def extract_from_contents(contents: DataFrame, rows: int | None = None) -> Extract:
+def extract_from_contents(contents: DataFrame) -> Extract:
     """Extract from a frame (name, content), never moving a body through a shuffle.
 
-    ``rows`` is a proven bound on the files to extract. Under it the files are broadcast and only
-    their bodies are parsed. Otherwise every body is parsed where it is scanned, and the narrow result
-    joins the files.
+    A bounded number of files is broadcast and only their bodies are parsed. Otherwise every body is
+    parsed where it is scanned, and the narrow result joins the files.
     """
 
-    def run(files: DataFrame) -> DataFrame:
+    def run(files: DataFrame, rows: int | None = None) -> DataFrame:
         bodies = contents.select("name", "content")
         if rows is not None and rows <= BOUNDED_ROWS:
             parsed = pe_metadata(bodies.join(F.broadcast(files), "name"))
@@ -92,7 +101,12 @@ def _open(root: str) -> tuple:
     return fs.FileSystem.from_uri(root.rstrip("/"))
 
 
-def _spread(files: DataFrame, tasks: int | None) -> DataFrame:
+def _spread(files: DataFrame, rows: int | None, tasks: int | None) -> DataFrame:
     """Rows here are small but each stands for a fetch: keep them in many tasks."""
-    context = files.sparkSession.sparkContext
-    return files.repartition(tasks or 4 * context.defaultParallelism, "name")
+    spark = files.sparkSession
+    if tasks is None:
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+        if rows is not None:
+            tasks = max(1, min(tasks, -(-rows // _IN_FLIGHT)))
+    return files.repartition(tasks, "name")

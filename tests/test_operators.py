@@ -87,7 +87,7 @@ def test_parse_once_and_fan_out(spark):
     files = storage(spark, *TWO_FILES, ("copy", "hash1", 5, True))
     seen = []
 
-    def extract(rows):
+    def extract(rows, bound):
         seen.append(rows)
         return rows.select(
             "*",

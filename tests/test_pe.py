@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from foldcat.functions.pe import pe_metadata
-from foldcat.functions.pe_python import ExtractionError, extract_pe, reader_of
+from foldcat.functions.pe_python import ExtractionError, extract_pe, in_blocks, reader_of
 from foldcat.schemas import METADATA
 
 ERROR = (None, None, None, None, "ERROR")
@@ -82,6 +82,9 @@ def test_cases_in_spark(spark):
 def test_cases_in_python(name):
     body, want = CASES[name]
     assert by_python(body) == want
+    for size in (7, 64, 4096):
+        read = in_blocks(reader_of(body), size)
+        assert all(read(at, 33) == body[at : at + 33] for at in range(0, len(body), 29))
 
 
 def test_null_content_gives_nulls(spark):

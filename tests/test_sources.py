@@ -61,6 +61,13 @@ def test_listing_without_etags_reads_no_bodies(spark, store):
     assert "length" in schema and "content" not in schema
 
 
+def test_prefixes_reach_the_scan_of_an_inventory(spark, tmp_path):
+    path = str(tmp_path / "inventory")
+    spark.createDataFrame([("0/a", "x", 1)], "Key string, ETag string, Size bigint").write.parquet(path)
+    plan = label_listing(read_inventory(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(Key,0)" in plan
+
+
 def test_inventory_with_quoted_etags(spark, tmp_path):
     path = str(tmp_path / "inventory")
     rows = [("0/a", '"abc"', 5), ("1/b", "def", 6), ("x", "y", 1)]
@@ -90,9 +97,9 @@ def test_missing_object_fails_the_task(spark, store):
 def test_file_without_a_result_fails_the_run(spark):
     files = storage(spark, ("0/gone", "h", 1, False))
     nothing = spark.createDataFrame([], "name string, content binary")
-    for rows in (None, 10):
-        extract = extract_from_contents(nothing, rows)
-        run = incremental_extract(files, extracted(spark), extract, False, 10)
+    for budget in (10, 2**31 - 1):
+        extract = extract_from_contents(nothing)
+        run = incremental_extract(files, extracted(spark), extract, False, budget)
         with pytest.raises(Exception, match="NULL in NOT NULL column size"):
             run.collect()
 
@@ -143,9 +150,9 @@ def test_bounded_and_unbounded_runs_agree(spark, store):
     known = extracted(spark, ("old", md5(OBJECTS["0/two.exe"]), 3, "x64", 9, 9, "dll", "EXTRACTED", False))
     results = [
         collected(
-            incremental_extract(files, known, extract_from_contents(bodies, rows), False, rows or 2**31 - 1, "2024-01-03")
+            incremental_extract(files, known, extract_from_contents(bodies), False, budget, "2024-01-03")
         )
-        for rows in (100, None)
+        for budget in (100, 2**31 - 1)
     ]
     assert results[0] == results[1]
     assert ("0/two.exe", md5(OBJECTS["0/two.exe"]), 3, "x64", 9, 9, "dll", "EXTRACTED", False, T3) in results[0]
