@@ -16,13 +16,12 @@ def shared_dir(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     chosen = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if chosen:
-        return chosen.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    chosen = tempfile.mkdtemp(prefix="foldcat-")
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    if not chosen:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="foldcat-"))
+        chosen = context.getCheckpointDir()
+    return chosen.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
