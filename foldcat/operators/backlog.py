@@ -12,6 +12,8 @@ _KEY = "_pick"
 _CELL = "_cell"
 # Four hex digits of the pick key: at most 65,536 equally filled cells per class.
 _CELL_DIGITS = 4
+# Each map task may send this many rows to the task that merges a small batch.
+_FEW_FILES = 1000
 
 
 def of_class(files: DataFrame, malicious: bool) -> DataFrame:
@@ -53,7 +55,8 @@ def balanced_batch(storage: DataFrame, extracted: DataFrame, num_files: int) ->
 
 def _small_budget(files: DataFrame) -> int:
     """Up to here Spark keeps the top rows per map task before any shuffle."""
-    return int(files.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    limit = files.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    return min(int(limit), _FEW_FILES)
 
 
 def _first_by_cells(files: DataFrame, num_files: int, group: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from foldcat.operators.backlog import balanced_batch, unprocessed_batch
 from foldcat.operators.content import fan_out, one_per_hash
-from foldcat.operators.lookup import parts_for
+from foldcat.operators.lookup import BOUNDED_ROWS, parts_for
 from foldcat.operators.twins import carry_metadata, known_twins, remaining_files
 from foldcat.schemas import EXTRACTED, enforce_schema
 from foldcat.sources.objects import Extract
@@ -61,8 +61,10 @@ def extract_batch(
     change what later steps see, and each table is scanned once per use. The result is one frame, to
     be written in one append. It fails on a file that the extractor gave no result for.
     """
-    parts = parts_for(rows)
     batch = cut(batch)
+    if rows > BOUNDED_ROWS:
+        rows = batch.count()  # a generous budget says little; the stored batch is quickly counted
+    parts = parts_for(rows)
     known = cut(known_twins(batch, extracted, rows))
     carried = carry_metadata(batch, known, as_of, parts)
     remaining = remaining_files(batch, known, parts)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 from foldcat.schemas import FILE_KEY, enforce_schema
@@ -10,19 +11,32 @@ from foldcat.schemas import FILE_KEY, enforce_schema
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table with a fixed schema; a path not written yet is an empty table."""
-    from pyspark.errors import AnalysisException
-
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         return spark.createDataFrame([], schema)
 
 
-def append_table(df: DataFrame, path: str, schema: T.StructType) -> None:
+def append_table(
+    df: DataFrame, path: str, schema: T.StructType, partition_by: tuple[str, ...] = ()
+) -> None:
     """Append by column name; a NULL where the schema forbids it fails the write."""
-    enforce_schema(df, schema).write.mode("append").parquet(path)
+    _writer(df, schema, partition_by).mode("append").parquet(path)
+
+
+def write_snapshot(
+    df: DataFrame, path: str, schema: T.StructType, partition_by: tuple[str, ...] = ()
+) -> None:
+    """Write a whole table, such as the catalogue after an upsert, to a path that is not in use yet."""
+    _writer(df, schema, partition_by).mode("errorifexists").parquet(path)
+
+
+def _writer(df: DataFrame, schema: T.StructType, partition_by: tuple[str, ...]) -> DataFrameWriter:
+    """With ``partition_by=("malicious",)`` a scan of one class does not touch the other's files."""
+    writer = enforce_schema(df, schema).write
+    return writer.partitionBy(*partition_by) if partition_by else writer
 
 
 def save_bucketed(df: DataFrame, table: str, buckets: int, mode: str = "overwrite") -> None:

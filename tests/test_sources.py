@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from rows import T1, T3, collected, extracted, storage
 
 from foldcat.functions.pe import pe_metadata
+from foldcat.operators.backlog import of_class, unprocessed
+from foldcat.operators.partition_map import map_rows
 from foldcat.plans.extract import balanced_extract, incremental_extract
 from foldcat.plans.sync import sync
 from foldcat.schemas import EXTRACTED, LISTING, METADATA, STORAGE
-from foldcat.operators.partition_map import map_rows
 from foldcat.sources import tables
 from foldcat.sources.listing import label_listing, list_objects, read_inventory
 from foldcat.sources.objects import extract_from_contents, extract_from_store, fetch_contents
@@ -144,18 +145,34 @@ def test_one_pass_equals_benign_run_then_malicious_run(spark, store):
     assert collected(both) == collected(benign.unionByName(malicious))
 
 
-def test_bounded_and_unbounded_runs_agree(spark, store):
+def test_bounded_and_unbounded_runs_agree(spark, store, monkeypatch):
     files = label_listing(list_objects(spark, store, with_etag=True)).withColumn("sync_time", F.lit(T1))
     bodies = fetch_contents(files.select("name"), store).select("name", "content")
     known = extracted(spark, ("old", md5(OBJECTS["0/two.exe"]), 3, "x64", 9, 9, "dll", "EXTRACTED", False))
-    results = [
-        collected(
-            incremental_extract(files, known, extract_from_contents(bodies), False, budget, "2024-01-03")
-        )
-        for budget in (100, 2**31 - 1)
-    ]
-    assert results[0] == results[1]
-    assert ("0/two.exe", md5(OBJECTS["0/two.exe"]), 3, "x64", 9, 9, "dll", "EXTRACTED", False, T3) in results[0]
+
+    def run(budget):
+        extract = extract_from_contents(bodies)
+        return collected(incremental_extract(files, known, extract, False, budget, "2024-01-03"))
+
+    bounded = run(100)
+    assert run(2**31 - 1) == bounded
+    for module in ("plans.extract", "operators.lookup", "operators.twins", "sources.objects"):
+        monkeypatch.setattr(f"foldcat.{module}.BOUNDED_ROWS", 0)
+    assert run(2**31 - 1) == bounded
+    carried = ("0/two.exe", md5(OBJECTS["0/two.exe"]), 3, "x64", 9, 9, "dll", "EXTRACTED", False, T3)
+    assert carried in bounded
+
+
+def test_partitioned_table_prunes_the_other_class(spark, tmp_path):
+    path = str(tmp_path / "storage")
+    rows = storage(spark, ("a", "h", 1, True), ("b", "i", 2, False))
+    tables.write_snapshot(rows, path, STORAGE, ("malicious",))
+    with pytest.raises(Exception, match="already exists"):
+        tables.write_snapshot(rows, path, STORAGE)
+    table = tables.read_table(spark, path, STORAGE)
+    assert collected(table) == collected(rows)
+    plan = of_class(table, True)._jdf.queryExecution().executedPlan().toString()
+    assert "(malicious#" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
 
 
 def test_bucketed_tables_are_compared_without_a_shuffle(spark):
@@ -164,8 +181,6 @@ def test_bucketed_tables_are_compared_without_a_shuffle(spark):
     tables.save_bucketed(storage(spark, *rows), f"s{suffix}", 4)
     done = [(*row[:3], "x64", 1, 0, "exe", "EXTRACTED", False) for row in rows[:20]]
     tables.save_bucketed(extracted(spark, *done), f"e{suffix}", 4)
-    from foldcat.operators.backlog import unprocessed
-
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         left = unprocessed(spark.table(f"s{suffix}"), spark.table(f"e{suffix}"))
@@ -178,8 +193,6 @@ def test_bucketed_tables_are_compared_without_a_shuffle(spark):
 def test_class_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "storage")
     tables.append_table(storage(spark, ("a", "h", 1, True)), path, STORAGE)
-    from foldcat.operators.backlog import of_class
-
     plan = of_class(tables.read_table(spark, path, STORAGE), True).select("hash")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(malicious,true)" in text
