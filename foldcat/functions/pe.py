@@ -31,6 +31,7 @@ MAX_ORDINALS = 65_536
 
 # Descriptors looked at before the rest of a file is searched for the end of its import table.
 _FEW_DESCRIPTORS = 32
+_STRETCH = 1024
 
 
 def pe_metadata(df: DataFrame, content: str = "content") -> DataFrame:
@@ -139,24 +140,26 @@ def _directory(slot: str) -> str:
 
 
 def _section_headers() -> str:
-    """The section headers that are in the file, as one record."""
+    """The bytes of the section headers that are in the file."""
     fitting = f"(octet_length(_body) - _h.sections_at) div {SECTION_HEADER_SIZE}"
     size = f"({SECTION_HEADER_SIZE} * greatest(least(_h.num_sections, {fitting}), 0))"
-    return _record("_body", "_h.sections_at", size)
+    return _bytes("_body", "_h.sections_at", size)
 
 
 def _sections() -> str:
     """Array of (begin, end, file) of the sections."""
-    size = "(length(_headers) div 2)"
 
     def field(offset: int) -> str:
-        return _field("_headers", size, f"i * {SECTION_HEADER_SIZE} + {offset}", 4)
+        return _field("record", SECTION_HEADER_SIZE, offset, 4)
 
     section = f"""named_struct(
         'begin', {field(12)},
         'end', {field(12)} + greatest({field(8)}, {field(16)}),
         'file', {field(20)})"""
-    return f"transform({_indexes(f'{size} div {SECTION_HEADER_SIZE}')}, i -> {section})"
+    record = _record("headers", f"(i * {SECTION_HEADER_SIZE})", SECTION_HEADER_SIZE)
+    count = f"octet_length(headers) div {SECTION_HEADER_SIZE}"
+    sections = f"transform({_indexes(count)}, i -> {_let([('record', record)], section)})"
+    return _let([("headers", "_headers")], sections)
 
 
 def _mapped(rva: str) -> str:
@@ -201,18 +204,20 @@ def _count_symbols() -> str:
 
 
 def _count_imports() -> str:
-    """Import descriptors before the all-zero one, or before the end of the file."""
-    room = f"greatest((octet_length(body) - _import_at) div {IMPORT_DESCRIPTOR_SIZE}, 0)"
-    descriptor = _bytes("body", f"(_import_at + i * {IMPORT_DESCRIPTOR_SIZE})", IMPORT_DESCRIPTOR_SIZE)
-    is_end = f"{descriptor} = X'{bytes(IMPORT_DESCRIPTOR_SIZE).hex()}'"
-
-    def end_within(count: str) -> str:
-        """Index of the all-zero descriptor, NULL if it is not there."""
-        return f"get(filter({_indexes(count)}, i -> {is_end}), 0)"
-
-    few = end_within(f"least({room}, {_FEW_DESCRIPTORS})")
-    late = f"if({room} > {_FEW_DESCRIPTORS}, {end_within(room)}, NULL)"
-    return f"if(_import_at IS NULL, 0, coalesce({few}, {late}, {room}))"
+    """Import descriptors before the all-zero one, or before the end of the file.
+
+    The first few are looked at together. After them the file is searched in stretches, so that a file
+    made to have no end of imports costs time but no memory.
+    """
+    size, long = IMPORT_DESCRIPTOR_SIZE, _STRETCH
+    room = f"greatest((octet_length(body) - _import_at) div {size}, 0)"
+    is_end = f"{_bytes('body', f'(_import_at + i * {size})', size)} = X'{bytes(size).hex()}'"
+    stretch = f"sequence(s * {long}, least(s * {long} + {long}, room) - 1)"
+    has_end = f"filter({_indexes(f'(room + {long} - 1) div {long}')}, s -> exists({stretch}, i -> {is_end}))"
+    late = _let([("s", f"get({has_end}, 0)")], f"get(filter({stretch}, i -> {is_end}), 0)")
+    few = f"get(filter({_indexes(f'least(room, {_FEW_DESCRIPTORS})')}, i -> {is_end}), 0)"
+    count = f"coalesce({few}, if(room > {_FEW_DESCRIPTORS}, {late}, NULL), room)"
+    return f"if(_import_at IS NULL, 0, {_let([('room', room)], count)})"
 
 
 def _indexes(count: str) -> str:

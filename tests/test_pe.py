@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import struct
+import time
 
 import pe_files
 import pytest
@@ -87,6 +88,18 @@ def test_cases_in_python(name):
         assert all(read(at, 33) == body[at : at + 33] for at in range(0, len(body), 29))
 
 
+def test_hostile_files_take_little_time(spark):
+    """The most sections a header can declare, and megabytes of imports without an end."""
+    sections = pe_files.build(imports=2, other_sections=65_534)
+    endless = pe_files.build(imports=5, end_imports=False, overlay=b"x" * 8_000_000)
+    assert by_python(endless)[1] == (len(endless) - pe_files.RAW - 0x800) // 20
+    late = pe_files.build(imports=5, end_imports=False, overlay=b"x" * 2_000_000 + bytes(40))
+    start = time.monotonic()
+    bodies = [sections, endless, late]
+    assert by_spark(spark, bodies) == [by_python(body) for body in bodies]
+    assert time.monotonic() - start < 60
+
+
 def test_null_content_gives_nulls(spark):
     frame = spark.createDataFrame([(None,)], "content binary")
     assert tuple(pe_metadata(frame).first()) == (None,) * 5
