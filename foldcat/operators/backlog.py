@@ -12,8 +12,8 @@ _KEY = "_pick"
 _CELL = "_cell"
 # Four hex digits of the pick key: at most 65,536 equally filled cells per class.
 _CELL_DIGITS = 4
-# Each map task may send this many rows to the task that merges a small batch.
-_FEW_FILES = 1000
+# How many rows the task that merges a small batch may get from all map tasks together.
+_MERGED_ROWS = 10_000_000
 
 
 def of_class(files: DataFrame, malicious: bool) -> DataFrame:
@@ -54,9 +54,10 @@ def balanced_batch(storage: DataFrame, extracted: DataFrame, num_files: int) ->
 
 
 def _small_budget(files: DataFrame) -> int:
-    """Up to here Spark keeps the top rows per map task before any shuffle."""
-    limit = files.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    return min(int(limit), _FEW_FILES)
+    """Up to here Spark keeps the top rows per map task, and one task may merge what they send."""
+    conf = files.sparkSession.conf
+    kept = int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    return min(kept, _MERGED_ROWS // int(conf.get("spark.sql.shuffle.partitions")))
 
 
 def _first_by_cells(files: DataFrame, num_files: int, group: list[str]) -> DataFrame:

@@ -22,7 +22,8 @@ def lookup(left: DataFrame, right: DataFrame, how: str, parts: int = HASH_PARTS)
     ``parts > 1`` the rows of a hash are split into that many groups by their name, and ``right`` is
     first joined with the groups that exist: at most ``parts`` rows per hash, and never more than
     ``left`` has. The wide join then runs on (hash, group), so no task gets a whole hot hash, no
-    side is broadcast by hint, and no row of ``right`` is copied to a group that is not there.
+    side is broadcast by hint, and no row of ``right`` is copied to a group that is not there. As
+    ``left`` is used twice, store it first if it is costly to compute.
     """
     if parts <= 1:
         return left.join(right, CONTENT_KEY, how)

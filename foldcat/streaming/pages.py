@@ -74,8 +74,11 @@ def sync_pages(
     )
 
 
-def fold_pages(catalogue: DataFrame, log: str) -> DataFrame:
-    """The catalogue after all pages of ``log`` were upserted in page order."""
+def fold_pages(catalogue: DataFrame, log: str, after: int = -1) -> DataFrame:
+    """The catalogue after the pages of ``log`` were upserted in page order.
+
+    Pages up to ``after`` are part of the catalogue already; their folders are not read.
+    """
     spark = catalogue.sparkSession
     schema = T.StructType([*STORAGE.fields, T.StructField("page", T.LongType(), False)])
     try:
@@ -84,4 +87,4 @@ def fold_pages(catalogue: DataFrame, log: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         return catalogue
-    return upsert(catalogue, pages, order="page")
+    return upsert(catalogue, pages.filter(F.col("page") > after), order="page")

@@ -180,7 +180,8 @@ def test_integrity_violations(spark):
 
 def test_enforce_schema_casts_orders_and_refuses_nulls(spark):
     loose = spark.sql("SELECT true AS malicious, 5L AS size, 'h' AS hash, 'n' AS name, now() AS sync_time")
-    assert enforce_schema(loose, STORAGE).dtypes == [(f.name, f.dataType.simpleString()) for f in STORAGE.fields]
+    want = [(f.name, f.dataType.simpleString()) for f in STORAGE.fields]
+    assert enforce_schema(loose, STORAGE).dtypes == want
     with pytest.raises(Exception, match="NULL in NOT NULL column hash"):
         enforce_schema(loose.withColumn("hash", F.lit(None)), STORAGE).collect()
 

@@ -263,6 +263,12 @@ def test_replayed_page_counts_once_and_first_page_wins(spark, tmp_path):
     later.write.parquet(f"{log}/page=1")
     assert collected(fold_pages(storage(spark), log)) == [("0/a", "h", 1, False, T3)]
     assert fold_pages(first, str(tmp_path / "none")).count() == 1
+    resynced = first.withColumn("sync_time", F.lit(T3))
+    assert collected(fold_pages(resynced, log, after=1)) == collected(resynced)
+    rest = fold_pages(first, log, after=0)
+    assert collected(rest) == [("0/a", "h", 1, False, T3)]
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "(page#" in plan[plan.index("PartitionFilters") :]
 
 
 def test_stream_of_objects(spark, store, tmp_path):

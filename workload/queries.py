@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from foldcat.functions.catalogue import content_id
 from foldcat.functions.pe import pe_metadata
