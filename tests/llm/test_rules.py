@@ -1,0 +1,73 @@
+"""The rule cascade against a plain count, and its order against measured worth."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from foldcat.llm.rule_cascade import RULES, Measured, Text, judge, judge_documents, measure, ordered
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    inside = {i + j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(5)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    failed = len(words) < 10 or 100 * len(inside) > 20 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(inside), failed
+
+
+def test_base_counts_of_all_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = judge_documents(docs).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert tuple(r)[1:7] == plain(texts[r.doc_id])
+        assert r.kept == (not r.base_failed and not any(rule.rejects(Text(texts[r.doc_id])) for rule in RULES))
+
+
+def test_keeps_good_documents(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rows = judge_documents(docs).join(labels, "doc_id").where("NOT base_failed").collect()
+    good = [r.kept for r in rows if r.quality == 1]
+    assert sum(good) >= 0.99 * len(good)
+    assert not all(r.kept for r in rows if r.quality == 0)
+
+
+def test_random_texts():
+    rng = random.Random(2)
+    for _ in range(400):
+        text = "".join(rng.choices(["a", "b", "é ", " ", "\n", "\t", "\x1c", " ", "#", "ab ", "\n\n", "x y z w v "], k=rng.randrange(120)))
+        assert judge(text, RULES)[:6] == plain(text)
+
+
+def test_order_does_not_change_the_verdict(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = [r.text for r in docs.limit(300).collect()]
+    for order in (RULES, RULES[::-1]):
+        assert [judge(t, order)[6] for t in texts] == [judge(t, RULES)[6] for t in texts]
+
+
+def test_measured_order(spark):
+    found = measure(spark.read.parquet(f"{SF}/documents.parquet"), sample=200)
+    assert [m.name for m in found] == [r.name for r in RULES]
+    assert all(m.seen == 200 and 0 <= m.rejected <= 200 and m.seconds > 0 for m in found)
+    given = [Measured(r.name, 10, n, s) for r, n, s in zip(RULES, (1, 5, 5, 0, 0, 9), (1, 1, 5, 1, 1, 90))]
+    assert [r.name for r in ordered(RULES, given)] == [RULES[i].name for i in (1, 0, 2, 5, 3, 4)]
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, 1), (1, "", 2), (None, "a " * 300_000, 3), (2, "\n \n\t", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept int")
+    got = judge_documents(docs).collect()
+    assert len(got) == 4 and not any(r.kept for r in got) and all(r.base_failed for r in got)
+    assert judge_documents(docs.limit(0)).count() == 0
