@@ -1,0 +1,79 @@
+"""Decontamination against exact containment of all items in all documents."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from foldcat.llm.containment import decontaminate, drop_contaminated
+
+SF = "/root/testdata/sf0.01"
+
+
+def shingles(text):
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain(docs, items):
+    wanted = [(i, shingles(t)) for i, t in items]
+    result = {}
+    for d, text in docs:
+        words = re.findall(r"[^\W_]+", (text or "").lower())
+        held = {tuple(words[i : i + k]) for k in range(1, 6) for i in range(len(words) - k + 1)}
+        result[d] = sorted(i for i, s in wanted if s and 100 * len(s & held) >= 80 * len(s))
+    return result
+
+
+def check(spark, docs, items):
+    got = decontaminate(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    want = plain(docs, items)
+    assert len(got) == len(docs)
+    for r in got:
+        assert r.item_ids == ",".join(map(str, want[r.doc_id])), r.doc_id
+        assert r.contaminated == bool(want[r.doc_id]) and r.kept != r.contaminated and r.n_items == len(want[r.doc_id])
+    return want
+
+
+def test_given_documents(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    want = check(spark, docs, items)
+    assert any(want.values())
+
+
+def test_items_inside_long_documents(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 3, 5, 6, 9, 20, 40, 90, 300])))) for i in range(60)]
+    items += [(100, items[0][1]), (101, ""), (102, None), (103, "!?")]
+    docs = []
+    for d in range(80):
+        words = rng.choices(vocabulary, k=rng.choice([0, 3, 50, 3000]))
+        for _ in range(rng.randrange(12)):
+            piece = rng.choice(items[:60])[1].split()
+            for _ in range(rng.randrange(3)):
+                piece[rng.randrange(len(piece))] = rng.choice(vocabulary)
+            words[(at := rng.randrange(len(words) + 1)) : at] = piece
+        docs.append((d, " ".join(w.title() if rng.random() < 0.2 else w for w in words)))
+    docs += [(500, None), (501, "")]
+    assert sum(map(len, check(spark, docs, items).values())) > 50
+
+
+def test_odd_tables(spark):
+    rows = [(1, "one two three four five six", "a"), (1, "x", "b"), (None, "one two three four five six", "c"), (2, "y", "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shingle string")
+    items = spark.createDataFrame([(7, "One, two three four FIVE six.", 1)], "item_id long, text string, doc_id int")
+    assert sorted(str(r.doc_id) + str(r.contaminated) for r in decontaminate(docs, items).collect()) == ["1True", "1True", "2False", "NoneTrue"]
+    left = drop_contaminated(docs, items)
+    assert left.columns == docs.columns and [r.doc_id for r in left.collect()] == [2]
+    assert decontaminate(docs, items.limit(0)).where("kept").count() == 4
+    assert decontaminate(docs.limit(0), items).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    plan = decontaminate(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
