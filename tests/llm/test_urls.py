@@ -1,0 +1,71 @@
+"""Url rules against a plain version, the template tree on small made hosts."""
+
+from __future__ import annotations
+
+import re
+
+from foldcat.llm.url_templates import judge_urls
+
+RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    return lowered, re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def rule_of(host, path):
+    fits = []
+    for rule, verdict in RULES:
+        own, _, rest = rule.partition("/")
+        if (host == own or host.endswith("." + own)) and path.startswith("/" + rest):
+            fits.append((len(rule), rule, verdict))
+    return max(fits)[1:] if fits else (None, None)
+
+
+def test_given_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    urls = {r.page_id: r.url for r in pages.collect()}
+    got = judge_urls(pages, RULES).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        host, path = parts(urls[r.page_id])
+        rule, verdict = rule_of(host, path)
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == verdict if rule else r.verdict in ("allow", "block")
+
+
+def test_odd_urls(spark):
+    urls = [None, "", "x", "://", "HTTP://EXAMPLE.COM", "http://Ä.Example.com/en/?a://b", "a\nb://c.net/es/\n1#x", "http://net/es/", "ftp://anet/es/1", "http://www.example.com/en/1"]
+    pages = spark.createDataFrame([(i, u, "r") for i, u in enumerate(urls)] + [(None, "http://net/fr/", "r"), (3, "://", "r")], "page_id long, url string, rule string")
+    got = judge_urls(pages, RULES).collect()
+    assert len(got) == 12
+    by_id = {r.page_id: r for r in got}
+    for i, u in enumerate(urls):
+        host, path = parts(u)
+        assert (by_id[i].host, by_id[i].path, by_id[i].rule) == (host, path, rule_of(host, path)[0])
+    assert by_id[None].verdict == "block"
+    assert judge_urls(pages.limit(0), RULES).count() == 0
+
+
+def test_templates_generalise_merge_and_reject(spark):
+    rows, labels = [], []
+    for i in range(60):
+        for kind, bad in (("shop", 1), ("news", 0), ("blog", 0)):
+            rows.append((len(rows), f"http://h.org/{kind}/{i}/p{i}.html"))
+            if i % 2:
+                labels.append((len(rows) - 1, bad))
+    for i in range(50):
+        rows.append((len(rows), f"http://slugs.org/{'abcdefghij'[i % 10]}{'klmno'[i // 10]}/x"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = judge_urls(pages, RULES, spark.createDataFrame(labels, "page_id long, bad int")).collect()
+    assert len(got) == len(rows)
+    assert {r.verdict for r in got if "/shop/" in r.path} == {"block"}  # those without a label too
+    assert {r.verdict for r in got if "/shop/" not in r.path} == {"allow"}
+    assert {r.template for r in got if r.host == "slugs.org"} == {"/*/x"}
+    assert len({r.template for r in got if "/news/" in r.path or "/blog/" in r.path}) <= 2
+    assert {r.template for r in got if "/shop/" in r.path} == {"/shop/<n>/p<n>.html"}
