@@ -1,0 +1,59 @@
+"""Language identification: held-out accuracy, sparsity, and each odd input."""
+
+from __future__ import annotations
+
+import numpy as np
+
+from foldcat.llm.language_id import BUCKETS, document_frequencies, fit_languages, identify_documents, term_counts
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = identify_documents(docs)
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    rows = got.join(docs, "doc_id").where("held_out").collect()
+    assert len(rows) > 250
+    assert np.mean([r.lang_pred == r.lang for r in rows]) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_document_frequencies_are_those_of_all_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    df, n = document_frequencies(docs.select("text").repartition(3))
+    texts = [r.text for r in docs.collect()]
+    assert n == len(texts)
+    assert (df == sum((term_counts(t) > 0).astype(int) for t in texts)).all()
+
+
+def test_elastic_net_leaves_most_weights_out(spark):
+    model = fit_languages(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert model.weights.shape[1] == BUCKETS + 1
+    assert (model.weights == 0).mean() > 0.3
+
+
+def test_odd_documents(spark):
+    rows = [(1, None, "en", "a"), (2, "", "en", "b"), (3, "12 34 !?", "de", "c"), (4, "the cat and the dog", "en", "d"), (None, "the", "de", "e")]
+    rows += [(i, "der hund und die katze", "de", "x") for i in range(5, 30)] + [(i, "the dog and a cat", "en", "y") for i in range(30, 60)]
+    rows += [(60, "ein hund " * 100_000, None, "z"), (61, "le chien", None, "z"), (61, "le chien", None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string")
+    got = identify_documents(docs).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    assert all(by_id[i].lang_pred == "und" and by_id[i].score == 0 for i in (1, 2, 3))
+    assert by_id[60].lang_pred == "de" and by_id[4].lang_pred == "en" and by_id[61].lang_pred in ("en", "de")
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(i, "abc", None) for i in range(9)], "doc_id long, text string, lang string")
+    assert {(r.lang_pred, r.score) for r in identify_documents(docs).collect()} == {("und", 0.0)}
+    one = spark.createDataFrame([(i, "abc", "en") for i in range(9)], "doc_id long, text string, lang string")
+    assert {(r.lang_pred, r.score) for r in identify_documents(one).collect()} == {("en", 1.0)}
+    assert identify_documents(docs.limit(0)).count() == 0
+
+
+def test_a_long_text_is_counted_whole():
+    assert term_counts("ab " * 300_000).sum() == 9 * 300_000
+    long, short = term_counts("ab " * 300_000), term_counts("ab " * 3)
+    assert set(np.flatnonzero(long)) == set(np.flatnonzero(short))
