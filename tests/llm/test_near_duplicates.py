@@ -1,0 +1,107 @@
+"""Near duplicates against all pairs and a plain union-find."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from foldcat.llm import circulant_minhash
+from foldcat.llm.circulant_minhash import BANDS, document_groups, drop_near_duplicates, shingle_set, signature
+from foldcat.llm.components import components
+
+SF = "/root/testdata/sf0.01"
+
+
+def shingles(text, size):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def plain(docs, size):
+    sets = {d: shingles(t, size) for d, t in docs}
+    ids, parent = sorted(sets), {d: d for d in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if sets[a] and sets[b] and 5 * min(len(sets[a]), len(sets[b])) >= 4 * max(len(sets[a]), len(sets[b])):
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                    low, high = sorted((root(a), root(b)))
+                    parent[high] = low
+    return {d: (d, len(sets[d]), root(d), d == root(d)) for d in ids}
+
+
+def check(spark, docs, size):
+    want = plain(docs, size)
+    got = document_groups(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), size).collect()
+    assert len(got) == len(docs)
+    assert {r.doc_id: tuple(r) for r in got} == want
+    return want
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_given_documents(spark, size):
+    want = check(spark, [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()], size)
+    assert sum(not w[3] for w in want.values()) > 50
+
+
+def near_group(rng, n, most):
+    base = [f"w{rng.randrange(500)}" for _ in range(150)]
+    texts = []
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randrange(most)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_large_group_of_near_copies_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(circulant_minhash, "BLOCK_MEMBERS", 50)
+    rng = random.Random(3)
+    texts = near_group(rng, 300, 14) + near_group(rng, 60, 30)
+    want = check(spark, list(enumerate(texts)), 2)
+    assert len({w[2] for w in want.values()}) < 200
+
+
+def test_odd_documents(spark):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "ONE"), (6, "Äone"), (7, "äone"), (8, "a b"), (9, "A  b"), (10, "b a"), (11, "w " * 100_000), (12, "w w")]
+    check(spark, rows, 2)
+    rows += [(None, "one"), (4, "one"), (8, "zzz yyy")]
+    docs = spark.createDataFrame([(*r, "k", [1]) for r in rows], "doc_id long, text string, kept string, bands array<int>")
+    got = document_groups(docs, 2).collect()
+    assert len(got) == len(rows)
+    assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
+    left = drop_near_duplicates(docs, 2)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {None, 1, 2, 3, 4, 6, 7, 8, 10, 11}
+    assert document_groups(docs.limit(0), 2).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(50), rng.randrange(50)) for _ in range(40)] + [(7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parent = {x: x for e in edges for x in e}
+    for _ in range(100):
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {x: parent[x] for x in linked}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_signatures_estimate_similarity():
+    rng = random.Random(6)
+    a = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    b = a[:340] + [f"v{rng.randrange(10**6)}" for _ in range(60)]
+    x, y = shingle_set(" ".join(a), 2), shingle_set(" ".join(b), 2)
+    true = len(set(x) & set(y)) / len(set(x) | set(y))
+    assert abs((signature(x) == signature(y)).mean() - true) < 0.12
+    assert len(signature(x)) % BANDS == 0
