@@ -20,23 +20,24 @@ import shutil
 import tempfile
 import unicodedata
 import uuid
-from collections import Counter
-from collections.abc import Iterator
 
-import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldcat.llm.lexicon import Lexicon, compile_lexicon
 from foldcat.llm.text import struct_udf
+from foldcat.staging import cut
 
-# How many words the lexicon holds: the most frequent ones, ties by the word.
-LEXICON_WORDS = 65_536
-# How many different chunks a task remembers before it starts afresh.
-_REMEMBERED = 200_000
+# How many words the lexicon holds at most: the most frequent ones of the corpus.
+LEXICON_WORDS = 262_144
+# How many different words, and how many chunks, a task remembers before it starts afresh.
+_REMEMBERED = 400_000
 # Words above this many symbols are merged with a heap.
 _SHORT = 40
+# Longer words are neither remembered nor held by the lexicon.
+_LONGEST = 64
+_NEVER, _ID = 1 << 62, (1 << 32) - 1
 
 # White space and the word pattern of the vocabulary's pre-tokenizer.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -60,11 +61,11 @@ class Bpe:
         if model["type"] != "BPE" or model["end_of_word_suffix"] != "</w>" or kinds != _NEEDED:
             raise ValueError("a BPE vocabulary with word ends, lower case and NFC is needed")
         self.vocab: dict[str, int] = model["vocab"]
-        self.ranks = {}
+        # By the left id: a pair's rank and the id it merges to, as one number; the least comes first.
+        self.ranks: list[dict[int, int]] = [{} for _ in self.vocab]
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            merged = self.vocab[left + right]
-            self.ranks[self.vocab[left], self.vocab[right]] = (rank, merged)
+            self.ranks[self.vocab[left]][self.vocab[right]] = rank << 32 | self.vocab[left + right]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.pieces = {i: p for p, i in self.vocab.items()} | {i: p for p, i in self.special.items()}
         shown = byte_characters()
@@ -76,92 +77,106 @@ class Bpe:
         self._spaces = regex.compile(f"[{_SPACE}]+")
 
     def chunks(self, text: str) -> list[str]:
-        """Parts between white space; no token reaches across."""
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split() alone
-            return [c for c in self._spaces.split(text) if c]
-        return text.split()
-
-    def words(self, chunk: str) -> list[bytes | int]:
-        """The words of a chunk as bytes, special tokens as ids."""
-        parts = self._specials.split(chunk) if self._specials and "<" in chunk else [chunk]
-        found: list[bytes | int] = []
-        for part in parts:
-            if part in self.special:
-                found.append(self.special[part])
-            elif part:
-                # Each character is lowered on its own: no final sigma.
-                lowered = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                found += [w.encode("utf-8", "surrogatepass") for w in self._words.findall(lowered)]
-        return found
+        """Parts of a text in lower case between white space; special tokens after one space.
+
+        No word reaches across white space. Each character is lowered on its own: no final sigma.
+        """
+        if any(token in text for token in self.special):
+            found: list[str] = []
+            for part in self._specials.split(text):
+                found += [f" {part}"] if part in self.special else self.chunks(part)
+            return found
+        lowered = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if any(c in lowered for c in "\x1c\x1d\x1e\x1f"):  # white space to str.split() alone
+            return [c for c in self._spaces.split(lowered) if c]
+        return lowered.split()
+
+    def words(self, chunk: str) -> list[str]:
+        if chunk[0] == " " or chunk.isalpha():
+            return [chunk]
+        if chunk[-1] in ".," and chunk[:-1].isalpha():
+            return [chunk[:-1], chunk[-1]]
+        return self._words.findall(chunk)
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of a word: the pair of the lowest rank merges first, the leftmost of equals."""
         ids = [self._plain[b] for b in word[:-1]] + [self._final[word[-1]]]
         if len(ids) > _SHORT:
             return self._merge_long(ids)
-        ranks = self.ranks
-        while len(ids) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(ids, ids[1:])):
-                found = ranks.get(pair)
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
-                break
-            ids[at : at + 2] = [best[1]]
+        by_left = self.ranks
+        ranks = [by_left[left].get(right, _NEVER) for left, right in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) != _NEVER:
+            i = ranks.index(best)
+            merged = ids[i] = best & _ID
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = by_left[ids[i - 1]].get(merged, _NEVER)
+            if i < len(ranks):
+                ranks[i] = by_left[merged].get(ids[i + 1], _NEVER)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap and a linked list, for words of any length."""
         n = len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(*self.ranks[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.ranks]
+        heap = [(self.ranks[a][b], i, (a, b)) for i, (a, b) in enumerate(zip(ids, ids[1:])) if b in self.ranks[a]]
         heapq.heapify(heap)
         while heap:
-            _, merged, i, pair = heapq.heappop(heap)
+            best, i, pair = heapq.heappop(heap)
             j = after[i]
             if ids[i] != pair[0] or j < 0 or ids[j] != pair[1]:
                 continue
-            ids[i], ids[j] = merged, -1
+            ids[i], ids[j] = best & _ID, -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right >= 0 and (found := self.ranks.get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (*found, left, (ids[left], ids[right])))
+                if left >= 0 and right >= 0 and ids[right] in self.ranks[ids[left]]:
+                    heapq.heappush(heap, (self.ranks[ids[left]][ids[right]], left, (ids[left], ids[right])))
         return [i for i in ids if i >= 0]
 
 
 class Coder:
-    """What a task holds: the vocabulary, the mapped lexicon and the chunks it has seen."""
+    """What a task holds: the vocabulary, the mapped lexicon, and the words and chunks it has seen."""
 
     def __init__(self, vocabulary: str, lexicon: str):
         with open(vocabulary, encoding="utf-8") as file:
             self.bpe = Bpe(json.load(file))
         self.lexicon = Lexicon(lexicon)
-        self._seen: dict[str, tuple[int, str, str]] = {}
-
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        ids: list[int] = []
-        for word in self.bpe.words(chunk):
-            if isinstance(word, int):
-                ids.append(word)
-            else:
-                ids += self.lexicon.get(word) or self.bpe.merge(word)
+        self._words: dict[str, tuple[int, str, str]] = {}
+        self._chunks: dict[str, tuple[int, str, str]] = {}
+
+    def _word(self, word: str) -> tuple[int, str, str]:
+        if word[0] == " ":
+            ids = [self.bpe.special[word[1:]]]
+        else:
+            raw = word.encode("utf-8", "surrogatepass")
+            ids = self.lexicon.get(raw) or self.bpe.merge(raw)
         pieces = self.bpe.pieces
         entry = (len(ids), " ".join(map(str, ids)), " ".join([pieces[i] for i in ids]))
-        if len(chunk) <= 64:
-            if len(self._seen) >= _REMEMBERED:
-                self._seen.clear()
-            self._seen[chunk] = entry
-        return entry
+        return _remember(self._words, word, entry)
+
+    def _chunk(self, chunk: str) -> tuple[int, str, str]:
+        seen, slow = self._words.get, self._word
+        parts = [seen(w) or slow(w) for w in self.bpe.words(chunk)]
+        return _remember(self._chunks, chunk, parts[0] if len(parts) == 1 else _joined(parts))
 
     def code(self, text: str | None) -> tuple[int, str, str]:
         """Number of tokens, the ids joined by spaces, the decoded text."""
-        seen, slow = self._seen.get, self._chunk
-        parts = [seen(c) or slow(c) for c in self.bpe.chunks(text)] if text else []
-        parts = [p for p in parts if p[0]]
-        return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+        seen, slow = self._chunks.get, self._chunk
+        return _joined([seen(c) or slow(c) for c in self.bpe.chunks(text)] if text else [])
+
+
+def _joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
+    return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+
+
+def _remember(seen: dict, key: str, entry: tuple) -> tuple:
+    if len(key) <= _LONGEST:
+        if len(seen) >= _REMEMBERED:
+            seen.clear()
+        seen[key] = entry
+    return entry
 
 
 _CODERS: dict[str, Coder] = {}
@@ -174,30 +189,20 @@ def _coder(vocabulary: str, lexicon: str) -> Coder:
     return _CODERS[lexicon]
 
 
-def frequent_words(texts: DataFrame, vocabulary: str, words: int) -> list[bytes]:
-    """The most frequent words of a text column over all its rows; ``vocabulary`` is an added file."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(SparkFiles.get(vocabulary), encoding="utf-8") as file:
-            bpe = Bpe(json.load(file))
-        for batch in batches:
-            chunks: Counter[str] = Counter()
-            for text in batch.column(0):
-                if text.is_valid:
-                    chunks.update(bpe.chunks(text.as_py()))
-            totals: Counter[bytes] = Counter()
-            for chunk, n in chunks.items():
-                for word in bpe.words(chunk):
-                    if isinstance(word, bytes) and len(word) <= 64:
-                        totals[word] += n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(totals), pa.binary()), pa.array(list(totals.values()), pa.int64())],
-                names=["word", "n"],
-            )
-
-    counted = texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(words)
-    return [bytes(r.word) for r in top.collect()]
+def frequent_words(texts: Column, docs: DataFrame, words: int) -> list[bytes]:
+    """The most frequent words (runs of letters, in lower case) of a text column over all its rows.
+
+    At most ``words``: those of at least the least frequency that no more words reach. What meets on
+    the driver is that many words; frequencies are summed over one row for each frequency.
+    """
+    runs = docs.select(F.explode(F.split(F.lower(texts), r"[^\p{L}]+")).alias("word"))
+    counted = cut(runs.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(f"n > 1 AND word != '' AND length(word) <= {_LONGEST}"))
+    sizes = counted.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    reached = sizes.withColumn("total", F.sum("words").over(Window.orderBy(F.desc("n")))).where(F.col("total") <= words)
+    least = reached.agg(F.min("n").alias("n")).first().n
+    if least is None:  # no words, or too many of the highest frequency
+        return []
+    return sorted(r.word.encode("utf-8") for r in counted.where(F.col("n") >= least).select("word").collect())
 
 
 def _hand_out(spark, files: dict[str, bytes]) -> None:
@@ -222,7 +227,7 @@ def bpe_code(docs: DataFrame, text: str, vocabulary_path: str, words: int = LEXI
         raw = file.read()
     _hand_out(spark, {vocabulary: raw})
     bpe = Bpe(json.loads(raw))
-    found = frequent_words(docs.select(docs[text].cast("string")), vocabulary, words)
+    found = frequent_words(docs[text].cast("string"), docs, words)
     _hand_out(spark, {lexicon: compile_lexicon({w: bpe.merge(w) for w in found})})
 
     def digests(value: str | None) -> tuple[int, str, str]:

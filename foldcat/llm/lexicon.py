@@ -1,7 +1,8 @@
 """A minimal acyclic transducer: sorted words in, token ids out, read from a memory-mapped file.
 
 Words that end alike share states. Each arc holds how many accepted words it skips, so that the sum
-along a path is the word's rank in sorted order, and the rank finds the word's ids.
+along a path is the word's rank in sorted order, and the rank finds the word's ids. An arc also holds
+where its target's arcs lie and whether the target accepts.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import mmap
 import numpy as np
 
 _MAGIC = b"FOLDLEX1"
+_BYTES = [bytes([b]) for b in range(256)]
 
 
 def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
@@ -62,13 +64,12 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     if words:
         offsets[1:] = np.cumsum([len(entries[w]) for w in words])
     parts = [
-        np.array([root, len(states), len(labels), len(words), int(offsets[-1])], np.uint32),
-        np.array(first, np.uint32),
-        np.array(targets, np.uint32),
-        np.array(skips, np.uint32),
+        np.array([first[root], first[root + 1], states[root][0], len(states), len(labels), len(words), int(offsets[-1])], np.uint32),
+        np.array([first[t] for t in targets], np.uint32),
+        np.array([first[t + 1] for t in targets], np.uint32),
+        np.array([skip << 1 | states[t][0] for skip, t in zip(skips, targets)], np.uint32),
         offsets,
         np.array([i for w in words for i in entries[w]], np.uint32),
-        np.array([s[0] for s in states], np.uint8),
         np.frombuffer(bytes(labels), np.uint8),
     ]
     return _MAGIC + b"".join(p.tobytes() for p in parts)
@@ -91,26 +92,24 @@ class Lexicon:
             at += 4 * count
             return part
 
-        self._root, n_states, n_arcs, self.n_words, n_ids = numbers(5)
-        self.n_states = n_states
-        self._first = numbers(n_states + 1)
-        self._targets = numbers(n_arcs)
+        self._low, self._high, self._accepts, self.n_states, n_arcs, self.n_words, n_ids = numbers(7)
+        self._first = numbers(n_arcs)
+        self._end = numbers(n_arcs)
         self._skips = numbers(n_arcs)
         self._offsets = numbers(self.n_words + 1)
         self._ids = numbers(n_ids)
-        self._accepts = view[at : at + n_states]
-        self._labels_at = at + n_states
+        self._labels = view[at : at + n_arcs]
+        self._base = at
 
     def get(self, word: bytes) -> list[int] | None:
         """The ids of a word, or None if the lexicon does not hold it."""
-        state, rank, first, base = self._root, 0, self._first, self._labels_at
-        find = self._map.find
-        for i in range(len(word)):
-            arc = find(word[i : i + 1], base + first[state], base + first[state + 1]) - base
+        rank, accepts, low, high, base = 0, self._accepts, self._low, self._high, self._base
+        find, first, end, skips = self._map.find, self._first, self._end, self._skips
+        for byte in word:
+            arc = find(_BYTES[byte], base + low, base + high) - base
             if arc < 0:
                 return None
-            rank += self._skips[arc]
-            state = self._targets[arc]
-        if not self._accepts[state]:
-            return None
-        return self._ids[self._offsets[rank] : self._offsets[rank + 1]].tolist()
+            skip = skips[arc]
+            rank += skip >> 1
+            accepts, low, high = skip & 1, first[arc], end[arc]
+        return self._ids[self._offsets[rank] : self._offsets[rank + 1]].tolist() if accepts else None
