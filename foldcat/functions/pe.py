@@ -27,7 +27,6 @@ IMPORT_DIRECTORY = 1
 SECTION_HEADER_SIZE = 40
 EXPORT_TABLE_SIZE = 40
 IMPORT_DESCRIPTOR_SIZE = 20
-MAX_ORDINALS = 65_536
 
 # Descriptors looked at before the rest of a file is searched for the end of its import table.
 _FEW_DESCRIPTORS = 32
@@ -193,7 +192,7 @@ def _count_symbols() -> str:
 
     def readable(count: str, at: str, width: int) -> str:
         fitting = f"(octet_length(body) - {at}) div {width}"
-        return f"greatest(least({count}, {fitting}, {MAX_ORDINALS}), 0)"
+        return f"greatest(least({count}, {fitting}), 0)"
 
     names = readable("x.names", "x.ordinals_at", 2)
     ordinal = _number("body", "(x.ordinals_at + i * 2)", 2)

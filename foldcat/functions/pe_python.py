@@ -14,6 +14,7 @@ from foldcat.functions import pe
 ReadAt = Callable[[int, int], bytes]
 
 _CHUNK = 8192
+_KEPT_BLOCKS = 8
 
 
 class ExtractionError(Exception):
@@ -25,15 +26,16 @@ def reader_of(body: bytes) -> ReadAt:
 
 
 def in_blocks(read: ReadAt, size: int) -> ReadAt:
-    """The same reads, made of whole blocks that are fetched once."""
+    """The same reads, made of whole blocks; the last few are kept, whatever the file holds."""
     blocks: dict[int, bytes] = {}
 
     def read_blocks(offset: int, width: int) -> bytes:
         first, last = offset // size, (offset + width - 1) // size
         for index in range(first, last + 1):
-            if index not in blocks:
-                blocks[index] = read(index * size, size)
-        joined = b"".join(blocks[index] for index in range(first, last + 1))
+            blocks[index] = blocks.pop(index) if index in blocks else read(index * size, size)
+        joined = b"".join([blocks[index] for index in range(first, last + 1)])
+        while len(blocks) > _KEPT_BLOCKS:
+            del blocks[next(iter(blocks))]  # the one used longest ago
         return joined[offset - first * size :][:width]
 
     return read_blocks
@@ -84,6 +86,25 @@ def extract_pe(read: ReadAt, length: int) -> dict:
         listed = (number(slots - 4, 4) or 0) > index
         return mapped(rva) if listed and rva else None
 
+    def count_symbols(ordinals_at: int | None, names: int, addresses_at: int | None, functions: int) -> int:
+        """Names, and functions with an address that no name refers to; both read in stretches."""
+        listed, named = 0, bytearray(1 << 16)
+        while ordinals_at is not None and listed < names:
+            part = table(ordinals_at + 2 * listed, min(_CHUNK, names - listed), 2)
+            for raw in part:
+                named[raw[0] | raw[1] << 8] = 1
+            listed += len(part)
+            if len(part) < _CHUNK:
+                break
+        seen = unnamed = 0
+        while addresses_at is not None and seen < functions:
+            part = table(addresses_at + 4 * seen, min(_CHUNK, functions - seen), 4)
+            unnamed += sum([any(raw) and not (i < 1 << 16 and named[i]) for i, raw in enumerate(part, seen)])
+            seen += len(part)
+            if len(part) < _CHUNK:
+                break
+        return listed + unnamed
+
     imports, at = 0, directory(pe.IMPORT_DIRECTORY)
     per_read = _CHUNK // pe.IMPORT_DESCRIPTOR_SIZE
     while at is not None:
@@ -97,11 +118,7 @@ def extract_pe(read: ReadAt, length: int) -> dict:
     head = read(at, pe.EXPORT_TABLE_SIZE) if at is not None else b""
     if len(head) == pe.EXPORT_TABLE_SIZE:
         functions, names, addresses_rva, _, ordinals_rva = struct.unpack_from("<5I", head, 20)
-        ordinals = table(mapped(ordinals_rva), min(names, pe.MAX_ORDINALS), 2)
-        addresses = table(mapped(addresses_rva), min(functions, pe.MAX_ORDINALS), 4)
-        named = {struct.unpack("<H", raw)[0] for raw in ordinals}
-        unnamed = sum(any(raw) for i, raw in enumerate(addresses) if i not in named)
-        exports = len(ordinals) + unnamed
+        exports = count_symbols(mapped(ordinals_rva), names, mapped(addresses_rva), functions)
 
     return {
         "architecture": "x64" if number(coff, 2) == pe.MACHINE_AMD64 else "x32",

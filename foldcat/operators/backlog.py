@@ -29,13 +29,13 @@ def first_files(files: DataFrame, num_files: int) -> DataFrame:
     """The first ``num_files`` in pick order, a total order, so the choice is repeatable."""
     if num_files <= _small_budget(files):
         return files.orderBy(pick_key(), *FILE_KEY).limit(num_files)
-    return _first_by_cells(files, num_files, [])
+    return first_by_cells(files, num_files, [])
 
 
 def first_files_per_class(files: DataFrame, num_files: int) -> DataFrame:
     """The first ``num_files`` of each class in pick order, in one pass over ``files``."""
     if num_files > _small_budget(files):
-        return _first_by_cells(files, num_files, ["malicious"])
+        return first_by_cells(files, num_files, ["malicious"])
     order = Window.partitionBy("malicious").orderBy(pick_key(), *FILE_KEY)
     ranked = files.withColumn(_KEY, F.row_number().over(order))
     return ranked.filter(F.col(_KEY) <= num_files).drop(_KEY)
@@ -60,7 +60,7 @@ def _small_budget(files: DataFrame) -> int:
     return min(kept, _MERGED_ROWS // int(conf.get("spark.sql.shuffle.partitions")))
 
 
-def _first_by_cells(files: DataFrame, num_files: int, group: list[str]) -> DataFrame:
+def first_by_cells(files: DataFrame, num_files: int, group: list[str]) -> DataFrame:
     """The same rows for a budget too large to rank in one task.
 
     Files are counted per cell of the pick key, the running count says how many files each cell may

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
-from itertools import batched
+from concurrent.futures import Future, ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -57,21 +57,33 @@ def map_rows(
 
         rows: list[dict] = []
         held = 0
-        with ThreadPoolExecutor(in_flight) as pool:
-            each = map if in_flight == 1 else pool.map
-            for some in batched(_rows(batches), in_flight):
-                for row in filter(None, each(added_to, some)):
-                    rows.append(row)
-                    held += sum(len(v) for v in row.values() if isinstance(v, (bytes, str)))
-                if len(rows) >= _MAX_ROWS or held >= _MAX_BYTES:
-                    yield pa.RecordBatch.from_pylist(rows, arrow_schema)
-                    rows, held = [], 0
+        for row in filter(None, _in_order(added_to, _rows(batches), in_flight)):
+            rows.append(row)
+            held += sum(len(v) for v in row.values() if isinstance(v, (bytes, str)))
+            if len(rows) >= _MAX_ROWS or held >= _MAX_BYTES:
+                yield pa.RecordBatch.from_pylist(rows, arrow_schema)
+                rows, held = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, arrow_schema)
 
     return df.mapInArrow(run, schema)
 
 
+def _in_order(function: Callable, rows: Iterator[dict], in_flight: int) -> Iterator[dict | None]:
+    """Results in the order of the rows, with up to ``in_flight`` calls under way at any time."""
+    if in_flight == 1:
+        yield from map(function, rows)
+        return
+    with ThreadPoolExecutor(in_flight) as pool:
+        waiting: deque[Future] = deque()
+        for row in rows:
+            if len(waiting) >= in_flight:
+                yield waiting.popleft().result()
+            waiting.append(pool.submit(function, row))
+        while waiting:
+            yield waiting.popleft().result()
+
+
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     """Rows as dicts, made for a bounded number of bytes at a time."""
     for batch in batches:

@@ -2,56 +2,102 @@
 
 from __future__ import annotations
 
-import re
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from foldcat.functions.catalogue import (
-    CLASS_BY_PREFIX,
-    class_of,
-    content_id,
-    in_prefix,
-    strip_quotes,
-)
+from foldcat.functions.catalogue import CLASS_BY_PREFIX, class_of, in_prefix, strip_quotes
+from foldcat.operators.partition_map import map_rows
+from foldcat.staging import cut
 
 RAW_SCHEMA = "Key string, ETag string, Size bigint"
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+_LISTED = "Key string, Size bigint"
+_STRETCH = 1 << 20
+_HASHED_AT_ONCE = 16
 
 
 def list_objects(
-    spark: SparkSession, root: str, prefix: str = "", with_etag: bool = False
+    spark: SparkSession, root: str, prefix: str | Sequence[str] = "", with_etag: bool = False
 ) -> DataFrame:
-    """Objects under ``root`` whose key starts with ``prefix``; none is an empty frame.
+    """Objects under ``root`` whose key starts with a prefix; none is an empty frame.
 
-    Bodies are read only for ``with_etag``. Spark keeps the file list in the driver, so a store with
-    very many objects should be listed from its inventory instead, see ``read_inventory``.
+    The executors list, one task per prefix and then one per folder found there, so that the driver
+    holds the prefixes only. Every file is an object, also an empty one and one whose name starts with
+    a dot or an underscore, and prefixes are taken literally. Bodies are read only for ``with_etag``.
     """
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(f"{root.rstrip('/')}/{prefix}*")
-        )
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], RAW_SCHEMA)
-    etag = content_id("content") if with_etag else F.lit(None).cast("string")
-    return files.select(
-        object_key(F.col("path"), root).alias("Key"),
-        etag.alias("ETag"),
-        F.col("length").alias("Size"),
-    )
+    prefixes = [prefix] if isinstance(prefix, str) else sorted(set(prefix))
+    # A prefix that starts with another one is listed by that one.
+    apart = [p for p in prefixes if not any(p != q and p.startswith(q) for q in prefixes)]
+    starts = spark.createDataFrame([(p.rpartition("/")[0], p) for p in apart], "folder string, prefix string")
+    shallow = cut(starts.repartition(max(1, len(apart)), "prefix").mapInArrow(_lister(root, False), _LISTED))
+    folders = shallow.filter("Size IS NULL").select(F.col("Key").alias("folder"), F.lit("").alias("prefix"))
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    deep = folders.repartition(spread, "folder").mapInArrow(_lister(root, True), _LISTED)
+    found = shallow.filter("Size IS NOT NULL").unionByName(deep).select("Key", "Size")
+    if not with_etag:
+        return found.select("Key", F.lit(None).cast("string").alias("ETag"), "Size")
+    etag = T.StructType([T.StructField("ETag", T.StringType(), True)])
+    hashed = map_rows(found.repartition(spread, "Key"), _hasher(root), etag, in_flight=_HASHED_AT_ONCE)
+    return hashed.select("Key", "ETag", "Size")
+
+
+def _lister(root: str, deep: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Files in the folders of a frame (folder, prefix), and the folders there, or what these hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        filesystem, base = open_store(root)
+        for batch in batches:
+            for start in batch.to_pylist():
+                waiting = [start["folder"]]
+                while waiting:
+                    folder = f"{base}/{waiting.pop()}".rstrip("/")
+                    selector = fs.FileSelector(folder, allow_not_found=True)
+                    entries = [(e.path[len(base) + 1 :], e) for e in filesystem.get_file_info(selector)]
+                    entries = [(k, e) for k, e in entries if (k if e.is_file else f"{k}/").startswith(start["prefix"]) or (not e.is_file and start["prefix"].startswith(f"{k}/"))]
+                    if deep:
+                        waiting += [k for k, e in entries if not e.is_file]
+                        entries = [(k, e) for k, e in entries if e.is_file]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k for k, _ in entries], pa.string()), pa.array([e.size if e.is_file else None for _, e in entries], pa.int64())],
+                        names=["Key", "Size"],
+                    )
+
+    return run
+
+
+def _hasher(root: str) -> Callable[[], Callable[[dict], dict]]:
+    """MD5 of a body as object stores give it, read in stretches."""
+
+    def open_hasher() -> Callable[[dict], dict]:
+        filesystem, base = open_store(root)
+
+        def etag(row: dict) -> dict:
+            digest = hashlib.md5()
+            with filesystem.open_input_stream(f"{base}/{row['Key']}") as body:
+                while part := body.read(_STRETCH):
+                    digest.update(part)
+            return {"ETag": f'"{digest.hexdigest()}"'}
+
+        return etag
+
+    return open_hasher
+
 
+def open_store(root: str) -> tuple:
+    """The file system of a root folder or address, and the root's path in it."""
+    from pyarrow import fs
 
-def object_key(path: Column, root: str) -> Column:
-    """Key of an object from its full path, whatever scheme and authority either is written with."""
-    base = re.sub(_SCHEME, "", root.rstrip("/"))
-    return F.substring(F.regexp_replace(path, _SCHEME, ""), len(base) + 2, 2**31 - 1)
+    if "://" not in root and not root.startswith("file:"):
+        root = f"file://{root}"
+    return fs.FileSystem.from_uri(root.rstrip("/"))
 
 
 def read_inventory(

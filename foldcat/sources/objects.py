@@ -13,6 +13,7 @@ from foldcat.functions.pe_python import ExtractionError, extract_pe, in_blocks,
 from foldcat.operators.lookup import BOUNDED_ROWS
 from foldcat.operators.partition_map import map_rows
 from foldcat.schemas import LISTING, METADATA
+from foldcat.sources.listing import open_store
 
 # (files, bound) -> the same files with metadata columns. Files come one per content with at least
 # name, hash, size and malicious; the bound is a proven limit on their number, None if there is none.
@@ -29,8 +30,8 @@ def fetch_contents(
 ) -> DataFrame:
     """Add the whole body of each file as ``content``; a key that is not there fails the task."""
 
-    def open_store() -> Callable[[dict], dict]:
-        filesystem, base = _open(root)
+    def open_bodies() -> Callable[[dict], dict]:
+        filesystem, base = open_store(root)
 
         def fetch(row: dict) -> dict:
             with filesystem.open_input_file(f"{base}/{row['name']}") as body:
@@ -39,25 +40,53 @@ def fetch_contents(
         return fetch
 
     added = T.StructType([T.StructField("content", T.BinaryType(), True)])
-    return map_rows(_spread(files, rows, tasks), open_store, added, in_flight=_IN_FLIGHT)
+    return map_rows(_spread(files, rows, tasks), open_bodies, added, in_flight=_IN_FLIGHT)
+
+
+def put_contents(files: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
+    """Write each row's ``content`` as the object ``name`` under ``root``; gives the rows without it.
+
+    Objects are written when the result is computed; a task that runs again writes the same bytes.
+    """
+
+    def open_sink() -> Callable[[dict], dict]:
+        filesystem, base = open_store(root)
+
+        def put(row: dict) -> dict:
+            path = f"{base}/{row['name']}"
+            filesystem.create_dir(path.rpartition("/")[0], recursive=True)
+            with filesystem.open_output_stream(path) as body:
+                body.write(row["content"])
+            return {"written": len(row["content"])}
+
+        return put
+
+    added = T.StructType([T.StructField("written", T.LongType(), True)])
+    return map_rows(_spread(files, None, tasks), open_sink, added, drop=("content",), in_flight=_IN_FLIGHT)
 
 
 def extract_from_store(root: str, tasks: int | None = None) -> Extract:
-    """Extract by reading the header ranges of each object; bodies are not moved."""
+    """Extract by reading the header ranges of each object; bodies are not moved.
+
+    A body that cannot be opened fails the task; one whose bytes cannot be read is an ERROR row.
+    """
 
-    def open_store() -> Callable[[dict], dict]:
-        filesystem, base = _open(root)
+    def open_bodies() -> Callable[[dict], dict]:
+        filesystem, base = open_store(root)
 
         def extract(row: dict) -> dict:
             with filesystem.open_input_file(f"{base}/{row['name']}") as body:
-                read = in_blocks(lambda at, width: body.read_at(width, at), _BLOCK)
-                return extract_pe(read, body.size())
+                try:
+                    read = in_blocks(lambda at, width: body.read_at(width, at), _BLOCK)
+                    return extract_pe(read, body.size())
+                except OSError as error:
+                    raise ExtractionError("the body cannot be read") from error
 
         return extract
 
     def run(files: DataFrame, rows: int | None = None) -> DataFrame:
         spread = _spread(files.select(*LISTING.names), rows, tasks)
-        return map_rows(spread, open_store, METADATA, (ExtractionError,), in_flight=_IN_FLIGHT)
+        return map_rows(spread, open_bodies, METADATA, (ExtractionError,), in_flight=_IN_FLIGHT)
 
     return run
 
@@ -93,14 +122,6 @@ def extract_rows(contents: DataFrame) -> DataFrame:
     return map_rows(contents, open_extractor, METADATA, (ExtractionError,), ("content",))
 
 
-def _open(root: str) -> tuple:
-    from pyarrow import fs
-
-    if "://" not in root and not root.startswith("file:"):
-        root = f"file://{root}"
-    return fs.FileSystem.from_uri(root.rstrip("/"))
-
-
 def _spread(files: DataFrame, rows: int | None, tasks: int | None) -> DataFrame:
     """Rows here are small but each stands for a fetch: keep them in many tasks."""
     spark = files.sparkSession

@@ -53,10 +53,10 @@ def read_jdbc(
     table: str,
     properties: dict[str, str],
     key: str = "id",
-    partitions: int | None = None,
+    partitions: int = 16,
 ) -> DataFrame:
     """A whole database table, read in ``partitions`` ranges of its integer key."""
-    if not partitions or partitions == 1:
+    if partitions == 1:
         return spark.read.jdbc(url, table, properties=properties)
     query = f"(SELECT min({key}) AS low, max({key}) AS high FROM {table}) bounds"
     bounds = spark.read.jdbc(url, query, properties=properties).first()
@@ -83,6 +83,7 @@ def append_jdbc(
 ) -> None:
     """Append by column name over at most ``connections`` connections at a time."""
     limits = {"numPartitions": str(connections)}
-    enforce_schema(df, schema).write.jdbc(
+    # A shuffle, as coalescing would run the work before it in so many tasks too.
+    enforce_schema(df, schema).repartition(connections).write.jdbc(
         url, table, mode="append", properties={**properties, **limits}
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -10,29 +11,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from foldcat.functions.catalogue import content_id, stamp
+from foldcat.functions.catalogue import stamp
 from foldcat.operators.upsert import upsert
 from foldcat.schemas import STORAGE
-from foldcat.sources.listing import RAW_SCHEMA, label_listing, object_key
+from foldcat.sources.listing import RAW_SCHEMA, label_listing, list_objects
+from foldcat.staging import fresh_path
 
 PAGE_SIZE = 1000
-_BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def stream_objects(spark: SparkSession, root: str, page_size: int = PAGE_SIZE) -> DataFrame:
-    """New objects under ``root`` as raw listing rows, ``page_size`` per micro-batch."""
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_BINARY_FILE)
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", page_size)
-        .load(root)
-    )
-    return files.select(
-        object_key(F.col("path"), root).alias("Key"),
-        content_id("content").alias("ETag"),
-        F.col("length").alias("Size"),
-    )
+def stream_objects(
+    spark: SparkSession, root: str, page_size: int = PAGE_SIZE, prefix: str | Sequence[str] = ""
+) -> DataFrame:
+    """The objects under ``root`` as raw listing rows, at most ``page_size`` per micro-batch.
+
+    The store is listed once, on the executors, into an inventory of files of a page each.
+    """
+    inventory = fresh_path(spark, "inventory")
+    listing = list_objects(spark, root, prefix, with_etag=True)
+    listing.write.option("maxRecordsPerFile", page_size).parquet(inventory)
+    return stream_inventory(spark, inventory, files_per_page=1)
 
 
 def stream_inventory(
@@ -88,3 +86,14 @@ def fold_pages(catalogue: DataFrame, log: str, after: int = -1) -> DataFrame:
             raise
         return catalogue
     return upsert(catalogue, pages.filter(F.col("page") > after), order="page")
+
+
+def last_page(spark: SparkSession, log: str) -> int:
+    """The number of the last page in ``log``, -1 if there is none: what ``after`` is next time."""
+    try:
+        pages = spark.read.parquet(log)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            raise
+        return -1
+    return pages.agg(F.coalesce(F.max("page"), F.lit(-1)).cast("bigint").alias("page")).first().page

@@ -125,12 +125,12 @@ def test_large_budget_picks_the_same_files(spark, budget):
     files = storage(spark, *rows)
     ranked = files.orderBy(backlog.pick_key(), "name", "hash").collect()
     expected = sorted(r.name for r in ranked[:budget])
-    cells = backlog._first_by_cells(files, budget, [])
+    cells = backlog.first_by_cells(files, budget, [])
     assert sorted(r.name for r in cells.collect()) == expected
     assert sorted(r.name for r in backlog.first_files(files, budget).collect()) == expected
     per_class = [[r.name for r in ranked if r.malicious == flag][:budget] for flag in (False, True)]
     both = backlog.first_files_per_class(files, budget)
-    cells = backlog._first_by_cells(files, budget, ["malicious"])
+    cells = backlog.first_by_cells(files, budget, ["malicious"])
     assert sorted(r.name for r in both.collect()) == sorted(sum(per_class, []))
     assert sorted(r.name for r in cells.collect()) == sorted(sum(per_class, []))
 

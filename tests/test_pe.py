@@ -135,3 +135,63 @@ def test_python_counts_what_was_built(imports, addresses, named, wide, dll):
     unnamed = sum(1 for i, a in enumerate(addresses) if a and i not in ordinals)
     want = ("dll", len(ordinals) + unnamed) if dll else ("exe", 0)
     assert by_python(body) == ("x64" if wide else "x32", imports, want[1], want[0], "EXTRACTED")
+
+
+def many_exports(functions, names=0):
+    """A file whose export tables lie behind its section and hold more than 65,536 entries."""
+    body = bytearray(pe_files.build(exports=([], [])))
+    at = len(body)
+    struct.pack_into("<5I", body, pe_files.RAW + 20, functions, names, at, 0, at + 4 * functions)
+    return bytes(body) + struct.pack("<I", 7) * functions + b"".join(struct.pack("<H", i % 65_536) for i in range(names))
+
+
+def test_exports_beyond_sixteen_bits_are_counted(spark):
+    cases = [(70_000, 0), (70_000, 10), (10, 70_000), (70_000, 70_000)]
+    want = [max(f, n) if n in (0, 10) else n + max(0, f - 65_536) for f, n in cases]
+    bodies = [many_exports(*case) for case in cases]
+    assert [by_python(b)[2] for b in bodies] == want
+    assert [row[2] for row in by_spark(spark, bodies)] == want
+
+
+def test_blocks_of_an_endless_import_table_are_not_kept():
+    body = pe_files.build(imports=50, end_imports=False, overlay=b"\x01" * 2_000_000)
+    held = []
+    read = in_blocks(reader_of(body), 4096)
+
+    def watched(offset, width):
+        found = read(offset, width)
+        held.append(sum(map(len, read.__closure__[0].cell_contents.values())))
+        return found
+
+    assert extract_pe(watched, len(body)) == extract_pe(reader_of(body), len(body))
+    assert max(held) <= 8 * 4096
+
+
+def test_a_body_that_cannot_be_read_on_is_an_error_row(spark, tmp_path, monkeypatch):
+    from foldcat.sources import objects
+
+    class Broken:
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return False
+
+        def size(self):
+            return 10_000
+
+        def read_at(self, width, at):
+            raise OSError("connection reset")
+
+    class Store:
+        def open_input_file(self, path):
+            if "missing" in path:
+                raise FileNotFoundError(path)
+            return Broken()
+
+    monkeypatch.setattr(objects, "open_store", lambda root: (Store(), root))
+    files = spark.createDataFrame([("0/a", "h", 1, True)], "name string, hash string, size int, malicious boolean")
+    assert [r.status for r in objects.extract_from_store("x", 1)(files).collect()] == ["ERROR"]
+    missing = spark.createDataFrame([("0/missing", "h", 1, True)], files.schema)
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        objects.extract_from_store("x", 1)(missing).collect()

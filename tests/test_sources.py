@@ -13,14 +13,25 @@ from rows import T1, T3, collected, extracted, storage
 
 from foldcat.functions.pe import pe_metadata
 from foldcat.operators.backlog import of_class, unprocessed
-from foldcat.operators.partition_map import map_rows
+from foldcat.operators.partition_map import _in_order, map_rows
 from foldcat.plans.extract import balanced_extract, incremental_extract
 from foldcat.plans.sync import sync
 from foldcat.schemas import EXTRACTED, LISTING, METADATA, STORAGE
 from foldcat.sources import tables
 from foldcat.sources.listing import label_listing, list_objects, read_inventory
-from foldcat.sources.objects import extract_from_contents, extract_from_store, fetch_contents
-from foldcat.streaming.pages import fold_pages, stream_inventory, stream_objects, sync_pages
+from foldcat.sources.objects import (
+    extract_from_contents,
+    extract_from_store,
+    fetch_contents,
+    put_contents,
+)
+from foldcat.streaming.pages import (
+    fold_pages,
+    last_page,
+    stream_inventory,
+    stream_objects,
+    sync_pages,
+)
 
 OBJECTS = {
     "0/feed a/one.dll": pe_files.GOLDEN_DLL,
@@ -57,9 +68,54 @@ def test_listing_of_a_store(spark, store):
 
 
 def test_listing_without_etags_reads_no_bodies(spark, store):
-    plan = list_objects(spark, store)._jdf.queryExecution().executedPlan().toString()
-    schema = plan[plan.index("ReadSchema") :]
-    assert "length" in schema and "content" not in schema
+    steps = lambda df: df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    listing = list_objects(spark, store)
+    assert steps(list_objects(spark, store, with_etag=True)) == steps(listing) + 1
+    assert {(r.Key, r.ETag, r.Size) for r in listing.collect()} == {(k, None, len(b)) for k, b in OBJECTS.items()}
+
+
+def test_listing_keeps_every_key(spark, tmp_path):
+    keys = ["0/_b.exe", "0/.c.exe", "0/_d/e.exe", "0/empty.exe", "0/[x]{y}*", "0/[x]z", "0/a b/ü?.exe", "0/d/d/d/f", "0x", "1/g", "top"]
+    for key in keys:
+        path = tmp_path / "store" / key
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"" if "empty" in key else key.encode())
+    root = str(tmp_path / "store")
+    listed = lambda prefix: sorted(r.Key for r in list_objects(spark, root, prefix).collect())
+    assert listed("") == sorted(keys)
+    for prefix in ("0", "0/", "0/_", "0/[x]", "0/d/d", "0/_d/e", "0/a b/ü?", "1/g", "none/x"):
+        assert listed(prefix) == sorted(k for k in keys if k.startswith(prefix)), prefix
+    assert listed(["0/d", "0/", "1", "0/d/d"]) == sorted(k for k in keys if k.startswith(("0/", "1")))
+    hashed = {r.Key: r.ETag for r in list_objects(spark, root, with_etag=True).collect()}
+    assert hashed == {k: f'"{md5(b"" if "empty" in k else k.encode())}"' for k in keys}
+    paged = sync_pages(stream_objects(spark, root, 3), str(tmp_path / "log"), str(tmp_path / "offsets"))
+    assert paged.awaitTermination(120)
+    folded = fold_pages(storage(spark), str(tmp_path / "log"))
+    assert {r.name for r in folded.collect()} == {k for k in keys if k[0] in "01"}
+    assert last_page(spark, str(tmp_path / "log")) >= 0 and last_page(spark, str(tmp_path / "no")) == -1
+
+
+def test_bodies_are_put_and_listed(spark, tmp_path):
+    rows = [(k, bytearray(b)) for k, b in OBJECTS.items()]
+    root = str(tmp_path / "put")
+    put = put_contents(spark.createDataFrame(rows, "name string, content binary"), root)
+    assert put.columns == ["name", "written"]
+    assert {r.name: r.written for r in put.collect()} == {k: len(b) for k, b in OBJECTS.items()}
+    assert {r.Key: r.Size for r in list_objects(spark, root).collect()} == {k: len(b) for k, b in OBJECTS.items()}
+
+
+def test_a_slow_row_does_not_hold_up_the_others():
+    started = []
+
+    def slow_first(row):
+        started.append(row["i"])
+        if row["i"] == 0:
+            deadline = time.time() + 20
+            while len(started) < 4 and time.time() < deadline:
+                time.sleep(0.01)
+        return row["i"] if row["i"] or len(started) >= 4 else None
+
+    assert list(_in_order(slow_first, ({"i": i} for i in range(4)), 4)) == [0, 1, 2, 3]
 
 
 def test_prefixes_reach_the_scan_of_an_inventory(spark, tmp_path):

@@ -100,9 +100,9 @@ _TAILS = {
     "class_filter": "SELECT hash FROM storage WHERE malicious",
     "unprocessed_anti": "SELECT * FROM waiting",
     "unprocessed_batch": """SELECT * FROM waiting WHERE NOT malicious
-        ORDER BY md5(concat_ws('/', hash, name)), name, hash LIMIT 500""",
-    "balanced_batch": "SELECT * EXCLUDE (place) FROM ranked WHERE place <= 1000 // 2",
-    "large_batch": "SELECT * EXCLUDE (place) FROM ranked WHERE place <= 1000000 // 2",
+        ORDER BY md5(concat_ws('/', hash, name)), name, hash LIMIT 100""",
+    "balanced_batch": "SELECT * EXCLUDE (place) FROM ranked WHERE place <= 201 // 2",
+    "large_batch": "SELECT * EXCLUDE (place) FROM ranked WHERE place <= 75",
     "distinct_hashes": "SELECT DISTINCT hash FROM storage",
     "one_per_hash": """SELECT name, hash, size, malicious FROM (
         SELECT *, row_number() OVER (PARTITION BY hash ORDER BY malicious, name) AS n FROM storage)
@@ -129,12 +129,16 @@ _TAILS = {
         GROUP BY name, hash HAVING count(*) > 1""",
     "content_hash": "SELECT name, hash FROM docs",
     "pe_metadata": f"SELECT {_PE_COLUMNS} FROM expected",
-    "pe_metadata_udf": f"SELECT {_PE_COLUMNS} FROM expected",
+    "pe_metadata_udf": f"SELECT {_PE_COLUMNS} FROM expected WHERE name NOT LIKE '%7'",
     "dedup_extract": _extraction("SELECT * FROM waiting", "(SELECT * FROM first_known WHERE false)")
     + _RESULT,
     "incremental_extract": _extraction("SELECT * FROM waiting WHERE malicious") + _RESULT,
-    "balanced_extract": _extraction("SELECT * FROM ranked WHERE place <= 500") + _RESULT,
-    "append_results": _extraction("SELECT * FROM ranked WHERE place <= 500")
+    "balanced_extract": _extraction("SELECT * FROM ranked WHERE place <= 201 // 2") + _RESULT,
+    "incremental_batch": _extraction("SELECT * FROM ranked WHERE NOT malicious AND place <= 99") + _RESULT,
+    "store_extract": _extraction("SELECT * FROM ranked WHERE place <= 201 // 2") + _RESULT,
+    "object_listing": """SELECT name AS Key, '"' || hash || '"' AS ETag, CAST(size AS bigint) AS Size
+        FROM ranked WHERE place <= 201 // 2""",
+    "append_results": _extraction("SELECT * FROM ranked WHERE place <= 201 // 2")
     + _RESULT
     + " UNION ALL SELECT * FROM extracted",
     "sync_catalogue": _UPSERTED.format(where="WHERE ord = 1"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldcat.functions.catalogue import content_id
 from foldcat.functions.pe import pe_metadata
@@ -15,13 +15,13 @@ from foldcat.plans.sync import sync
 from foldcat.schemas import EXTRACTED, FILE_KEY, STORAGE
 from foldcat.sources import tables
 from foldcat.sources.listing import label_listing, list_objects
-from foldcat.sources.objects import extract_from_contents, extract_rows
+from foldcat.sources.objects import extract_from_contents, extract_from_store, extract_rows, put_contents
 from foldcat.staging import cut, fresh_path
-from foldcat.streaming.pages import fold_pages, sync_pages
+from foldcat.streaming.pages import fold_pages, stream_inventory, sync_pages
 from workload import inputs
 
-# The default budget of a run, half of it for each class.
-NUM_FILES = 1000
+# The budget of a run, half of it for each class; one file is left over. It binds on all given tables.
+NUM_FILES = 201
 # A budget beyond any backlog here: everything that waits is taken.
 ALL_FILES = 2**31 - 1
 
@@ -40,7 +40,7 @@ def unprocessed_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unprocessed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.unprocessed_batch(
-        inputs.storage(spark, sf_dir), inputs.extracted(spark, sf_dir), False, NUM_FILES // 2
+        inputs.storage(spark, sf_dir), inputs.extracted(spark, sf_dir), False, 100
     )
 
 
@@ -51,10 +51,9 @@ def balanced_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def large_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half a million files of each class, ranked without a single-task step."""
-    return backlog.balanced_batch(
-        inputs.storage(spark, sf_dir), inputs.extracted(spark, sf_dir), 1_000_000
-    )
+    """Files of each class, ranked without a single-task step as for budgets of any size."""
+    waiting = backlog.unprocessed(inputs.storage(spark, sf_dir), inputs.extracted(spark, sf_dir))
+    return backlog.first_by_cells(waiting, 75, ["malicious"])
 
 
 def distinct_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +113,10 @@ def pe_metadata_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pe_metadata_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_rows(inputs.binaries(spark, sf_dir))
+    """Every tenth body is missing: its file gives no row."""
+    bodies = inputs.binaries(spark, sf_dir)
+    missing = F.col("name").endswith("7")
+    return extract_rows(bodies.withColumn("content", F.when(~missing, F.col("content"))))
 
 
 def dedup_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +137,44 @@ def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run of one class with a budget that binds."""
+    return plans.incremental_extract(
+        inputs.storage(spark, sf_dir),
+        inputs.extracted(spark, sf_dir),
+        extract_from_contents(inputs.binaries(spark, sf_dir)),
+        False,
+        99,
+        inputs.AS_OF,
+    )
+
+
+def store_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run whose bodies lie in a store: executors write them there and read their headers."""
+    root = fresh_path(spark, "store")
+    batch = balanced_batch(spark, sf_dir).select("name")
+    bodies = inputs.binaries(spark, sf_dir).join(batch, "name", "left_semi")
+    cut(put_contents(bodies, root))
+    return plans.balanced_extract(
+        inputs.storage(spark, sf_dir),
+        inputs.extracted(spark, sf_dir),
+        extract_from_store(root),
+        NUM_FILES,
+        inputs.AS_OF,
+    )
+
+
+def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objects of a run's batch, written to a store by executors and listed there."""
+    root = fresh_path(spark, "objects")
+    batch = balanced_batch(spark, sf_dir).select("name")
+    texts = inputs.table(spark, sf_dir, "documents").select(
+        inputs.object_name().alias("name"), F.col("text").cast("binary").alias("content")
+    )
+    cut(put_contents(texts.join(batch, "name", "left_semi"), root))
+    return list_objects(spark, root, ["0", "1"], with_etag=True)
+
+
 def balanced_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run with the default budget."""
     return plans.balanced_extract(
@@ -166,23 +206,15 @@ def sync_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def microbatch_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing as a stream of pages, folded into the earlier catalogue."""
-    log = fresh_path(spark, "pages")
-    documents = (
-        spark.readStream.schema(inputs.SCHEMAS["documents"])
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{sf_dir}/documents.parquet*")
-    )
-    pages = inputs.raw_listing(documents)
+    log, inventory = fresh_path(spark, "pages"), fresh_path(spark, "inventory")
+    listed = inputs.listing(spark, sf_dir)
+    listed.repartition(4, "Key").write.parquet(inventory)
+    pages = stream_inventory(spark, inventory, files_per_page=1)
     query = sync_pages(pages, log, fresh_path(spark, "offsets"), inputs.RESYNCED_AT)
     query.awaitTermination()
     return fold_pages(inputs.catalogue_before(spark, sf_dir), log)
 
 
-def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of the given tables as objects of a store."""
-    return list_objects(spark, sf_dir).select("Key", "Size")
-
-
 def relabelled_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only one prefix is listed: files of the other one are left out."""
     return label_listing(inputs.listing(spark, sf_dir), {"1": True}).select(*FILE_KEY, "malicious")
@@ -212,7 +244,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pe_metadata_udf": pe_metadata_udf,
     "dedup_extract": dedup_extract,
     "incremental_extract": incremental_extract,
+    "incremental_batch": incremental_batch,
     "balanced_extract": balanced_extract,
+    "store_extract": store_extract,
     "append_results": append_results,
     "sync_catalogue": sync_catalogue,
     "microbatch_sync": microbatch_sync,
