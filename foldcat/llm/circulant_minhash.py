@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from foldcat.llm.components import components
+from foldcat.llm.text import bound_batches
 from foldcat.staging import cut
 
 SHINGLE = 5
@@ -181,6 +182,7 @@ def _link_blocks(table: pa.Table) -> pa.Table:
 
 def document_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
+    bound_batches(docs.sparkSession)
     drawn = cut(sketches(docs, size))
     some = drawn.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = some.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n"))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from foldcat.llm.text import fold_of, struct_udf
+from foldcat.llm.text import bound_batches, fold_of, struct_udf
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -116,6 +116,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
+    bound_batches(texts.sparkSession)
     rows = texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(BUCKETS + 1, np.int64)
     for r in rows:  # at most BUCKETS + 1 rows

@@ -5,12 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # Words are runs without these: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Rows that Spark hands to Python at once. Its default of 10,000 has no bound in bytes that suits texts.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let batches of this session's Python functions hold ``BATCH_ROWS`` rows at most."""
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the decimal id, modulo the number of folds; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)
@@ -26,6 +37,7 @@ def struct_udf(per_row: Callable[[str | None], tuple], names: list[str], types:
 
     Rows of a batch are taken one by one, so that besides the batch only one row's work is held.
     """
+    bound_batches(SparkSession.active())
     arrow = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
     returns = ", ".join(f"{n} {t}" for n, t in zip(names, types, strict=True))
     kinds = [arrow[t] for t in types]
