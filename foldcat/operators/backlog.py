@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from foldcat.functions.catalogue import pick_key
 from foldcat.schemas import FILE_KEY
+from foldcat.staging import stored
 
 _KEY = "_pick"
 _CELL = "_cell"
 # Four hex digits of the pick key: at most 65,536 equally filled cells per class.
 _CELL_DIGITS = 4
-# How many rows the task that merges a small batch may get from all map tasks together.
-_MERGED_ROWS = 10_000_000
+# Into how many parts what the map tasks send is merged before one task merges the parts.
+_MERGES = 256
+_MERGE = "_merge"
 
 
 def of_class(files: DataFrame, malicious: bool) -> DataFrame:
@@ -27,18 +29,12 @@ def unprocessed(storage: DataFrame, extracted: DataFrame) -> DataFrame:
 
 def first_files(files: DataFrame, num_files: int) -> DataFrame:
     """The first ``num_files`` in pick order, a total order, so the choice is repeatable."""
-    if num_files <= _small_budget(files):
-        return files.orderBy(pick_key(), *FILE_KEY).limit(num_files)
-    return first_by_cells(files, num_files, [])
+    return _first(files, num_files, [])
 
 
 def first_files_per_class(files: DataFrame, num_files: int) -> DataFrame:
     """The first ``num_files`` of each class in pick order, in one pass over ``files``."""
-    if num_files > _small_budget(files):
-        return first_by_cells(files, num_files, ["malicious"])
-    order = Window.partitionBy("malicious").orderBy(pick_key(), *FILE_KEY)
-    ranked = files.withColumn(_KEY, F.row_number().over(order))
-    return ranked.filter(F.col(_KEY) <= num_files).drop(_KEY)
+    return _first(files, num_files, ["malicious"])
 
 
 def unprocessed_batch(
@@ -53,11 +49,29 @@ def balanced_batch(storage: DataFrame, extracted: DataFrame, num_files: int) ->
     return first_files_per_class(unprocessed(storage, extracted), num_files // 2)
 
 
-def _small_budget(files: DataFrame) -> int:
-    """Up to here Spark keeps the top rows per map task, and one task may merge what they send."""
-    conf = files.sparkSession.conf
-    kept = int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    return min(kept, _MERGED_ROWS // int(conf.get("spark.sql.shuffle.partitions")))
+def _first(files: DataFrame, num_files: int, group: list[str]) -> DataFrame:
+    """Up to the first ``num_files`` of each group; both ways give the same rows."""
+    kept = files.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if num_files > int(kept):  # beyond it Spark no longer drops rows before the shuffle
+        return first_by_cells(files, num_files, group)
+    return first_by_merging(files, num_files, group)
+
+
+def first_by_merging(files: DataFrame, num_files: int, group: list[str]) -> DataFrame:
+    """Every map task keeps its first files, 256 tasks merge these, and one per group merges the rest.
+
+    A merging task gets ``num_files`` rows from each 256th map task, and the last at most 256 times
+    ``num_files``, however many map tasks there are.
+    """
+    keyed = files.withColumn(_KEY, pick_key())
+    keyed = keyed.withColumn(_MERGE, F.spark_partition_id() % F.lit(_MERGES))
+    order = [_KEY, *FILE_KEY]
+    within = Window.partitionBy(*group, _MERGE).orderBy(*order)
+    merged = keyed.withColumn("_rank", F.row_number().over(within)).filter(F.col("_rank") <= num_files)
+    if not group:
+        return merged.orderBy(*order).limit(num_files).select(*files.columns)
+    last = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return merged.withColumn("_rank", last).filter(F.col("_rank") <= num_files).select(*files.columns)
 
 
 def first_by_cells(files: DataFrame, num_files: int, group: list[str]) -> DataFrame:
@@ -65,10 +79,10 @@ def first_by_cells(files: DataFrame, num_files: int, group: list[str]) -> DataFr
 
     Files are counted per cell of the pick key, the running count says how many files each cell may
     still give, and ranking happens inside cells only. The broadcast side has at most one row per
-    cell and class.
+    cell and class. ``files`` are computed once and stored.
     """
     keyed = files.withColumn(_KEY, pick_key())
-    keyed = keyed.withColumn(_CELL, F.substring(_KEY, 1, _CELL_DIGITS))
+    keyed = stored(keyed.withColumn(_CELL, F.substring(_KEY, 1, _CELL_DIGITS)), "backlog")
     counts = keyed.groupBy(*group, _CELL).agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(*group).orderBy(_CELL))
     room = counts.withColumn("_room", F.lit(num_files) - (upto - F.col("_n")))

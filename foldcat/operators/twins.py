@@ -9,6 +9,8 @@ from foldcat.functions.catalogue import stamp
 from foldcat.operators.lookup import BOUNDED_ROWS, HASH_PARTS, lookup
 from foldcat.schemas import CONTENT_KEY, EXTRACTED
 
+_TWIN = "_twin"
+
 
 def distinct_hashes(files: DataFrame) -> DataFrame:
     return files.select(CONTENT_KEY).distinct()
@@ -58,10 +60,30 @@ def carry_metadata(
     Size, class and status are the twin's too, so a recorded error is carried and not tried again.
     """
     metadata = known.drop("name", "created_at")
-    carried = lookup(batch.select("name", CONTENT_KEY), metadata, "inner", parts)
-    return carried.withColumn("created_at", stamp(as_of)).select(*EXTRACTED.names)
+    found = lookup(batch.select("name", CONTENT_KEY), metadata, "inner", parts)
+    return found.withColumn("created_at", stamp(as_of)).select(*EXTRACTED.names)
 
 
 def remaining_files(batch: DataFrame, known: DataFrame, parts: int = HASH_PARTS) -> DataFrame:
     """Batch files whose content nobody has processed."""
     return lookup(batch, known.select(CONTENT_KEY), "left_anti", parts)
+
+
+def match_twins(batch: DataFrame, known: DataFrame, parts: int = HASH_PARTS) -> DataFrame:
+    """Batch files beside what is known for their content, NULL if nothing is.
+
+    One join for both kinds of files: store it, then split it by ``carried`` and ``unmatched``, which
+    give the rows of ``carry_metadata`` and ``remaining_files``.
+    """
+    own = ("name", CONTENT_KEY, "created_at")
+    metadata = F.struct(*[name for name in known.columns if name not in own])
+    return lookup(batch, known.select(CONTENT_KEY, metadata.alias(_TWIN)), "left", parts)
+
+
+def carried(matched: DataFrame, as_of: str | None = None) -> DataFrame:
+    found = matched.filter(F.col(_TWIN).isNotNull()).select("name", CONTENT_KEY, f"{_TWIN}.*")
+    return found.withColumn("created_at", stamp(as_of)).select(*EXTRACTED.names)
+
+
+def unmatched(matched: DataFrame) -> DataFrame:
+    return matched.filter(F.col(_TWIN).isNull()).drop(_TWIN)

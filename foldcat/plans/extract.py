@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame
 from foldcat.operators.backlog import balanced_batch, unprocessed_batch
 from foldcat.operators.content import fan_out, one_per_hash
 from foldcat.operators.lookup import BOUNDED_ROWS, parts_for
-from foldcat.operators.twins import carry_metadata, known_twins, remaining_files
+from foldcat.operators.twins import carried, known_twins, match_twins, unmatched
 from foldcat.schemas import EXTRACTED, enforce_schema
 from foldcat.sources.objects import Extract
-from foldcat.staging import cut
+from foldcat.staging import stored
 
 
 def dedup_extract(
@@ -57,16 +57,15 @@ def extract_batch(
 ) -> DataFrame:
     """Result rows for a batch of at most ``rows`` files: carried from twins, or extracted.
 
-    The batch and its twins are computed once and kept: appending the result to ``extracted`` cannot
-    change what later steps see, and each table is scanned once per use. The result is one frame, to
-    be written in one append. It fails on a file that the extractor gave no result for.
+    The batch, and the batch beside its twins, are computed once and kept: appending the result to
+    ``extracted`` cannot change what later steps see, and each table is scanned once per use. The
+    result is one frame, to be written in one append. It fails on a file that the extractor gave no
+    result for.
     """
-    batch = cut(batch)
+    batch = stored(batch, "batch")
     if rows > BOUNDED_ROWS:
         rows = batch.count()  # a generous budget says little; the stored batch is quickly counted
     parts = parts_for(rows)
-    known = cut(known_twins(batch, extracted, rows))
-    carried = carry_metadata(batch, known, as_of, parts)
-    remaining = remaining_files(batch, known, parts)
-    parsed = dedup_extract(remaining, extract, as_of, rows)
-    return enforce_schema(carried.unionByName(parsed), EXTRACTED)
+    matched = stored(match_twins(batch, known_twins(batch, extracted, rows), parts), "matched")
+    parsed = dedup_extract(unmatched(matched), extract, as_of, rows)
+    return enforce_schema(carried(matched, as_of).unionByName(parsed), EXTRACTED)

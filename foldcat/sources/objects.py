@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,7 +95,7 @@ def extract_from_contents(contents: DataFrame) -> Extract:
     """Extract from a frame (name, content), never moving a body through a shuffle.
 
     A bounded number of files is broadcast and only their bodies are parsed. Otherwise every body is
-    parsed where it is scanned, and the narrow result joins the files.
+    parsed where it is scanned, and the narrow result joins the files; see ``extract_from_bucketed``.
     """
 
     def run(files: DataFrame, rows: int | None = None) -> DataFrame:
@@ -109,6 +109,21 @@ def extract_from_contents(contents: DataFrame) -> Extract:
     return run
 
 
+def extract_from_bucketed(spark: SparkSession, table: str) -> Extract:
+    """Extract from a table (name, content) that is bucketed by name, one plan for any number of files.
+
+    Files are brought to their bodies and only those are parsed; bodies are neither moved nor sorted.
+    A task holds the files of one bucket, which are fewer and smaller than the bodies it streams.
+    """
+
+    def run(files: DataFrame, rows: int | None = None) -> DataFrame:
+        bodies = spark.table(table).select("name", "content")
+        parsed = pe_metadata(bodies.join(files.hint("shuffle_hash"), "name"))
+        return parsed.select(*LISTING.names, *METADATA.names)
+
+    return run
+
+
 def extract_rows(contents: DataFrame) -> DataFrame:
     """``pe_metadata`` through the partition map: for each row with a body, the Python extractor."""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
@@ -39,12 +41,20 @@ def _writer(df: DataFrame, schema: T.StructType, partition_by: tuple[str, ...])
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def save_bucketed(df: DataFrame, table: str, buckets: int, mode: str = "overwrite") -> None:
-    """Write a table bucketed by file identity.
+def save_bucketed(
+    df: DataFrame,
+    table: str,
+    buckets: int,
+    mode: str = "overwrite",
+    schema: T.StructType | None = None,
+    key: Sequence[str] = tuple(FILE_KEY),
+) -> None:
+    """Write a table bucketed by ``key``, file identity unless told otherwise, as ``schema`` if given.
 
-    Two tables with the same number of buckets are compared by (name, hash) without any shuffle.
+    Two tables with the same number of buckets are compared by their key without any shuffle.
     """
-    df.write.bucketBy(buckets, *FILE_KEY).sortBy(*FILE_KEY).mode(mode).saveAsTable(table)
+    shaped = df if schema is None else enforce_schema(df, schema)
+    shaped.write.bucketBy(buckets, *key).sortBy(*key).mode(mode).saveAsTable(table)
 
 
 def read_jdbc(

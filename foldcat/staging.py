@@ -38,3 +38,14 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Compute ``df`` once into a Parquet table of the shared folder, and read it from there.
+
+    It survives the loss of executors like a checkpoint; besides, readers take only the columns they
+    use and the planner knows its size.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -158,6 +158,30 @@ def test_upsert_equals_row_by_row_application(spark):
     assert folded["c", "1"] == (6, True, T2)
 
 
+def test_rows_in_one_place_fold_to_the_same_row_in_any_partitioning(spark):
+    rows = [("a", "1", size, size == 3, time) for size in (9, 3, 3, 7) for time in (T2, T3)]
+    for tasks in (1, 5):
+        frame = spark.createDataFrame(rows, STORAGE).repartition(tasks)
+        assert collected(upsert(storage(spark), frame)) == [("a", "1", 3, True, T3)]
+        known = storage(spark, ("a", "1", 5, False))
+        assert collected(upsert(known, frame)) == [("a", "1", 5, False, T3)]
+
+
+def test_batch_split_by_twins_equals_the_two_joins(spark):
+    files = storage(spark, *[(f"n{i}", "hot" if i % 3 == 0 else f"h{i % 9}", i, i % 2 == 0) for i in range(60)])
+    known = extracted(
+        spark,
+        ("z", "hot", 1, "x64", 1, 0, "exe", "EXTRACTED", True),
+        ("y", "h2", 2, None, None, None, None, "ERROR", False),
+    )
+    for parts in (1, 64):
+        matched = twins.match_twins(files, known, parts)
+        assert collected(twins.carried(matched, "2024-01-03")) == collected(twins.carry_metadata(files, known, "2024-01-03", parts))
+        left = twins.unmatched(matched)
+        assert collected(left) == collected(twins.remaining_files(files, known, parts))
+        assert sorted(left.columns) == sorted(files.columns)
+
+
 def test_upsert_twice_changes_nothing(spark):
     target = storage(spark, *TWO_FILES)
     incoming = storage(spark, ("name3", "hash3", 3, False), *TWO_FILES)

@@ -11,9 +11,10 @@ from foldcat.functions.pe import pe_metadata
 from foldcat.operators import backlog, twins
 from foldcat.operators.integrity import integrity_violations
 from foldcat.operators.upsert import upsert
+from foldcat.plans.extract import balanced_extract
 from foldcat.schemas import EXTRACTED, STORAGE
-from foldcat.sources.objects import extract_from_contents
-from foldcat.sources.tables import append_table, read_table
+from foldcat.sources.objects import extract_from_bucketed, extract_from_contents
+from foldcat.sources.tables import append_table, read_table, save_bucketed
 
 
 @pytest.fixture
@@ -42,13 +43,40 @@ def plan_of(df):
 def test_small_batch_scans_each_table_once_and_limits_before_the_shuffle(stored):
     plan = plan_of(backlog.balanced_batch(*stored, 1000))
     assert plan.count("FileScan") == 2
-    assert "500, Partial" in plan
-    assert plan.index("500, Final") < plan.index("Exchange") < plan.index("500, Partial")
-    assert "LeftAnti" in plan and "Broadcast" not in plan
+    exchanges = [at for at in range(len(plan)) if plan.startswith("Exchange hashpartitioning(malicious#", at)]
+    assert len(exchanges) == 2 and "_merge#" in plan[exchanges[1] : exchanges[1] + 70]
+    assert plan.rindex("500, Final") < exchanges[1] < plan.rindex("500, Partial")
+    assert "LeftAnti" in plan and "Broadcast" not in plan and "SinglePartition" not in plan
 
 
 def test_one_class_small_batch_is_a_top_k(stored):
-    assert "TakeOrderedAndProject" in plan_of(backlog.unprocessed_batch(*stored, True, 500))
+    plan = plan_of(backlog.unprocessed_batch(*stored, True, 500))
+    assert plan.index("TakeOrderedAndProject") < plan.index("Exchange hashpartitioning(_merge#")
+
+
+def test_large_batch_computes_its_backlog_once(stored):
+    plan = plan_of(backlog.balanced_batch(*stored, 10_000_000))
+    assert "LeftAnti" not in plan and plan.count("FileScan") == 2
+    assert "ReadSchema: struct<malicious:boolean,_cell:string>" in plan
+
+
+def test_run_joins_batch_and_twins_once(spark, stored):
+    bodies = spark.createDataFrame([("a", bytearray(b"x"))], "name string, content binary")
+    plan = plan_of(balanced_extract(*stored, extract_from_contents(bodies), 1000))
+    assert "LeftAnti" not in plan and plan.count("FileScan") == 3
+    assert plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_bucketed_bodies_stay_where_they_are(spark):
+    bodies = spark.createDataFrame([("a", bytearray(b"x"))], "name string, content binary")
+    save_bucketed(bodies, "plan_bodies", 8, key=["name"])
+    files = listing(spark, ("a", "h", 1, False))
+    for rows in (10, None):
+        plan = plan_of(extract_from_bucketed(spark, "plan_bodies")(files, rows))
+        assert plan.count("Exchange") == 1 and "8), REPARTITION" not in plan
+        assert "ShuffledHashJoin" in plan and "Sort " not in plan
+    assert extract_from_bucketed(spark, "plan_bodies")(files).count() == 1
+    spark.sql("DROP TABLE plan_bodies")
 
 
 def test_large_batch_ranks_inside_cells_only(stored):
@@ -76,11 +104,18 @@ def test_unbounded_batch_meets_aggregated_results(stored):
     assert "partial_min_by" in plan and "Broadcast" not in plan
 
 
-def test_upsert_is_one_hash_aggregation(stored):
+def test_upsert_shuffles_each_side_once(stored):
     plan = plan_of(upsert(stored[0], stored[0]))
-    assert plan.count("Exchange") == 1
-    assert "Join" not in plan and "SortAggregate" not in plan
-    assert "partial_min_by" in plan
+    assert plan.count("Exchange") == 2 and plan.count("Join") == 1
+    assert "partial_min" in plan
+
+
+def test_upsert_leaves_a_bucketed_catalogue_where_it_is(spark, stored):
+    save_bucketed(stored[0], "plan_catalogue", 8, schema=STORAGE)
+    plan = plan_of(upsert(spark.table("plan_catalogue"), stored[0]))
+    target = [line for line in plan.splitlines() if "Bucketed: true" in line]
+    assert len(target) == 1 and "Exchange" not in plan[: plan.index("Bucketed: true")]
+    spark.sql("DROP TABLE plan_catalogue")
 
 
 def test_integrity_check_combines_before_the_shuffle(stored):
