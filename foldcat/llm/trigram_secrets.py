@@ -139,8 +139,53 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return whole.where("held = needed").groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
+_SPANS = "array<struct<start:int,end:int,tested:int>>"
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _laid_out(steps: Column) -> Column:
+    """The spans of alternating gaps and matches, counted from 0, and where the last one ends."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found"))
+
+    def step(state, x):
+        begins = state["at"] + x["gap"]
+        ends = begins + x["m"]["long"]
+        span = F.struct(begins.alias("start"), ends.alias("end"), x["m"]["tested"].alias("tested"))
+        return F.struct(ends.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
+
+    return F.aggregate(steps, start, step)
+
+
+def _laid_out_by_blocks(steps: Column) -> Column:
+    """The same spans by blocks of as many steps as there are blocks, each moved to where it begins.
+
+    Appending copies the array, so that one run over n matches would cost their square.
+    """
+    width = F.ceil(F.sqrt(F.size(steps))).cast("int")
+    last = F.floor((F.size(steps) - 1) / width).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda i: _laid_out(F.slice(steps, i * width + 1, width)))
+
+    def moved(blocks):
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
+        begins = F.aggregate(
+            blocks,
+            start,
+            lambda s, b: F.struct((s["at"] + b["at"]).alias("at"), F.concat(s["begins"], F.array(s["at"])).alias("begins")),
+            lambda s: s["begins"],
+        )
+        return F.flatten(F.zip_with(blocks, begins, lambda b, by: F.transform(b["found"], lambda s: F.struct(
+            (s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["tested"].alias("tested")
+        ))))
+
+    return F.when(F.size(steps) == 0, F.array().cast(_SPANS)).otherwise(_bound(blocks, moved))
+
+
 def spans_of(text: Column, rule: Rule) -> Column:
-    """Leftmost non-overlapping matches as (start, rank, kind, end); gaps and matches alternate."""
+    """Leftmost non-overlapping matches as (start, end, tested); gaps and matches alternate."""
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     if rule.group:
         tested = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
@@ -148,17 +193,10 @@ def spans_of(text: Column, rule: Rule) -> Column:
     else:
         matches = F.transform(matches, lambda m: F.struct(F.length(m).alias("long"), F.length(m).alias("tested")))
     gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
-    both = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,tested:int>>").alias("found"))
-
-    def step(state, x):
-        begins = state["at"] + x["gap"]
-        ends = begins + x["m"]["long"]
-        span = F.struct(begins.alias("start"), ends.alias("end"), x["m"]["tested"].alias("tested"))
-        return F.struct(ends.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
 
-    found = F.aggregate(both, start, step, lambda state: state["found"])
-    return F.filter(found, lambda s: s["tested"] >= rule.least)
+    # The last gap has no match behind it.
+    steps = F.filter(F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("m"))), lambda x: x["m"].isNotNull())
+    return F.filter(_bound(steps, _laid_out_by_blocks), lambda s: s["tested"] >= rule.least)
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -168,7 +206,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     found = cut(candidates(texts, tuple(r for r in rules if r.kind in indexed)))
     small = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     known = texts.join(F.broadcast(found) if small else found, "doc_id", "left")
-    none = F.array().cast("array<struct<start:int,end:int,tested:int>>")
+    none = F.array().cast(_SPANS)
     columns = []
     for rule in rules:
         spans = spans_of(F.col("text"), rule)

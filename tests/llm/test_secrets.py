@@ -48,6 +48,11 @@ def test_random_texts(spark):
     check(spark, [None, "", *("".join(rng.choices(bits, k=rng.randrange(14))) for _ in range(400))])
 
 
+def test_very_many_matches_in_one_text(spark):
+    for n in (1, 2, 3, 10, 99, 100, 101, 20_000):
+        check(spark, [" ".join(f"é token={'a' * (4 + i % 5)} AKIA{i:020d}" for i in range(n))])
+
+
 def test_odd_rows(spark):
     rows = [(None, "token=abcdefg"), (1, "token=abcdefg"), (1, "nothing"), (1, None), (2, "token = abcdefg " * 3000)]
     docs = spark.createDataFrame([(*r, "x", ["y"]) for r in rows], "doc_id long, text string, spans string, kinds array<string>")
