@@ -9,9 +9,11 @@ coordinates are one stretch of the second permutation.
    Two sets of similarity 0.8 share none of the 32 bands with a probability of 3e-6.
 3. In each bucket all members are verified against one leader, a different one for each band. Links
    give components.
-4. Buckets that still hold several components are split into blocks of bounded size; in each pair of
-   blocks members of different components are verified exactly, and only links leave the task. So no
-   candidate pair that could join two components goes untested, and no list of all pairs is made.
+4. Buckets that still hold several components are split into blocks of bounded size, the members of the
+   largest component apart from the rest. Blocks of the rest meet all blocks; those of the largest do
+   not meet each other, as they have nothing left to link. In each pair of blocks members of different
+   components are verified exactly, and only links leave the task. So no candidate pair that could join
+   two components goes untested, and no list of all pairs is made.
 5. The components of all links, by least id, are the groups.
 
 Words are lower-cased from A to Z; shingles are known by 64-bit hashes (two of 100,000 collide with a
@@ -180,6 +182,11 @@ def _link_blocks(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
 
+def _blocks(members, shingles):
+    """How many blocks so many members with so many shingles in all are dealt into."""
+    return F.ceil(F.greatest(members / BLOCK_MEMBERS, shingles / BLOCK_SHINGLES)).cast("int")
+
+
 def document_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     bound_batches(docs.sparkSession)
@@ -191,7 +198,7 @@ def document_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     banded = nodes.select("node", "n", F.explode("bands").alias("key"))
     leader = F.min(F.struct(F.xxhash64("node", "key").alias("order"), "node")).getField("node")
     buckets = cut(banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), leader.alias("leader"), F.sum("n").alias("n")).where("members > 1"))
-    together = cut(banded.drop("n").join(buckets, "key"))
+    together = cut(banded.withColumnRenamed("n", "size").join(buckets, "key"))
     pairs = cut(together.where("node != leader").select("node", "leader").distinct())
     wanted = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct()
     sets = cut(sets_of(docs, wanted, size))
@@ -200,13 +207,20 @@ def document_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     links = cut(starred.select(F.col("node").alias("a"), F.col("leader").alias("b")))
     reached = components(links)
 
-    # Buckets of several components: their members in blocks, each block against each.
+    # Buckets of several components: the rest beside the largest component, in blocks, against all blocks.
     labelled = together.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    blocks = F.ceil(F.greatest(F.col("members") / BLOCK_MEMBERS, F.col("n") / BLOCK_SHINGLES)).cast("int")
-    members = labelled.join(mixed.select("key"), "key", "left_semi").withColumn("blocks", blocks)
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    shares = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("in_it"), F.sum("size").alias("size_in_it"))
+    largest = F.max(F.struct("in_it", "size_in_it", "component")).alias("largest")
+    mixed = shares.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), largest).where("parts > 1").select("key", "largest")
+    members = labelled.join(mixed, "key").withColumn("rest", F.col("component") != F.col("largest.component"))
+    rest_blocks = _blocks(F.col("members") - F.col("largest.in_it"), F.col("n") - F.col("largest.size_in_it"))
+    members = members.withColumn("rest_blocks", rest_blocks)
+    members = members.withColumn("main_blocks", _blocks(F.col("largest.in_it"), F.col("largest.size_in_it")))
+    in_rest = F.pmod(F.xxhash64("node"), F.col("rest_blocks")).cast("int")
+    in_main = F.col("rest_blocks") + F.pmod(F.xxhash64("node"), F.col("main_blocks")).cast("int")
+    members = members.withColumn("block", F.when(F.col("rest"), in_rest).otherwise(in_main))
+    met = F.when(F.col("rest"), F.col("rest_blocks") + F.col("main_blocks")).otherwise(F.col("rest_blocks"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), met - 1)))
     members = members.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
     placed = members.select("key", "low", "high", "block", "node", "component")
     carried = placed.join(sets, "node").join(nodes.select("node", "bands"), "node")
