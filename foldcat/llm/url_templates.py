@@ -70,7 +70,7 @@ def templates(urls: DataFrame) -> DataFrame:
         F.count("bad").alias("labelled"),
         F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"),
     )
-    parts = F.split(F.substring(F.col("shape"), 2, 1_000_000), "/")
+    parts = F.split(F.expr("substring(shape, 2)"), "/")
     tree = cut(counted.withColumn("parts", F.when(F.length("shape") > 1, parts).otherwise(F.array().cast("array<string>"))).withColumn("template", F.lit("")))
     for level in range(LEVELS + 1):
         segment = F.get(F.col("parts"), F.lit(level))
