@@ -127,7 +127,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 def _packed(text: str | None) -> tuple[bytes, bytes]:
     counts = term_counts(text or "")
     at = np.flatnonzero(counts)
-    return at.astype(np.uint16).tobytes(), np.minimum(counts[at], 65_535).astype(np.uint16).tobytes()
+    return at.astype(np.uint16).tobytes(), counts[at].tobytes()
 
 
 def fit_languages(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Languages:
@@ -148,7 +148,7 @@ def fit_languages(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> L
     x = []
     for r in rows:
         at = np.frombuffer(r.at, np.uint16).astype(np.int64)
-        v = np.log1p(np.frombuffer(r.counts, np.uint16)) * idf[at]
+        v = np.log1p(np.frombuffer(r.counts, np.int64)) * idf[at]
         norm = np.sqrt(v @ v)
         x.append((np.append(at, BUCKETS), np.append(v / norm if norm else v, 1.0)))
     y = np.array([names.index(r.lang) for r in rows])
