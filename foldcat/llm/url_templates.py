@@ -1,10 +1,16 @@
 """URL filter: given rules first, then a tree of path templates per host.
 
 A path becomes a template: digits and long hexadecimal runs of a segment become wildcards, then, level
-by level, segments that are rare among many siblings, and siblings whose labelled share of bad urls
-does not differ significantly from that of the rest below the same parent, become ``*``. A template is
-rejected if its share of bad urls, smoothed towards its host's and the host's towards the global one,
-is at least one half. Labels are the verdicts of the rules, or those that the caller hands in.
+by level, segments that are rare among many siblings, and siblings whose labelled share of bad urls was
+compared with that of the rest below the same parent and does not differ significantly, become ``*``. A
+branch that cannot be compared, for want of labels on either side or as all labels are equal, keeps its
+name. A template is rejected if its share of bad urls, smoothed towards its host's and the host's
+towards the global one, is at least one half. Labels are the verdicts of the rules, or those that the
+caller hands in.
+
+The global share may speak for a host but not against it: it counts as one half at most. A host without
+a label of its own is not judged; its share is NULL and it is allowed. A template without labels on a
+host that has some is judged by its host's share.
 
 Urls are counted by (host, template) before anything is compared, so that a host with a third of all
 urls is some rows of counts. Levels beyond ``LEVELS`` count as one segment.
@@ -21,7 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from foldcat.staging import cut
 
 LEVELS = 4
-# A segment is variable if its parent has more children than this and it has less than its even share.
+# A segment is variable if its parent has more children than this and it has less than its even share,
+# or just that share and no significantly different one of bad urls.
 FANOUT = 20
 # Two shares differ if the statistic of their difference is beyond this.
 Z = 1.96
@@ -85,8 +92,9 @@ def templates(urls: DataFrame) -> DataFrame:
         error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), F.col("labelled")) + F.try_divide(F.lit(1), beside)))
         comparable = (F.col("labelled") > 0) & (beside > 0) & (pooled > 0) & (pooled < 1)
         differs = F.coalesce(F.when(comparable, apart > Z * error), F.lit(False))
-        rare = (F.col("children") > FANOUT) & (F.col("n") * F.col("children") < F.col("all_n"))
-        alike = (F.col("children") > 1) & ~differs
+        over = F.col("n") * F.col("children") - F.col("all_n")
+        rare = (F.col("children") > FANOUT) & ((over < 0) | (over == 0) & ~differs)
+        alike = F.coalesce(comparable, F.lit(False)) & ~differs
         named = children.join(parents, ["host", "template"]).select(
             "host", "template", "segment", F.when(rare | alike, "*").otherwise(F.col("segment")).alias("called")
         )
@@ -95,8 +103,10 @@ def templates(urls: DataFrame) -> DataFrame:
         )
         tree = cut(tree.drop("segment", "called"))
     world = tree.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("labelled")), F.lit(0.0)).alias("world_share"))
-    world_share = F.lit(float(world.first()[0] or 0.0))
-    hosts = tree.groupBy("host").agg(_share(F.sum("bad"), F.sum("labelled"), world_share).alias("host_share"))
+    # How often the rules block says nothing against a host.
+    world_share = F.lit(min(float(world.first()[0] or 0.0), REJECT))
+    share = _share(F.sum("bad"), F.sum("labelled"), world_share)
+    hosts = tree.groupBy("host").agg(F.when(F.sum("labelled") > 0, share).alias("host_share"))
     groups = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
     judged = groups.join(hosts, "host").withColumn("bad_share", _share(F.col("bad"), F.col("labelled"), F.col("host_share")))
     return tree.select("host", "shape", "template").join(judged.drop("host_share"), ["host", "template"])

@@ -69,3 +69,23 @@ def test_templates_generalise_merge_and_reject(spark):
     assert {r.template for r in got if r.host == "slugs.org"} == {"/*/x"}
     assert len({r.template for r in got if "/news/" in r.path or "/blog/" in r.path}) <= 2
     assert {r.template for r in got if "/shop/" in r.path} == {"/shop/<n>/p<n>.html"}
+
+
+def test_the_base_rate_condemns_no_host(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = judge_urls(pages, RULES).collect()
+    labelled = {r.host for r in got if r.rule}
+    free = [r for r in got if not r.rule]
+    assert {r.verdict for r in free} == {"allow", "block"}
+    assert {(r.verdict, r.bad_share) for r in free if r.host not in labelled} == {("allow", None)}
+    # What has no label is not merged with what is blocked.
+    blocked = {(r.host, r.template) for r in got if r.rule and r.verdict == "block"}
+    assert not blocked & {(r.host, r.template) for r in free}
+
+
+def test_one_good_label_outweighs_the_base_rate(spark):
+    urls = [f"http://{i}.net/es/{i}" for i in range(30)] + ["http://a.com/x/1", "http://a.com/y/1", "http://b.com/x/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(30, False)], "page_id long, bad boolean")
+    got = {r.path + r.host: r.verdict for r in judge_urls(pages, [("net/es/", "block")], labels).collect()}
+    assert got["/x/1a.com"] == got["/y/1a.com"] == got["/x/1b.com"] == "allow"
