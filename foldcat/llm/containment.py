@@ -8,11 +8,13 @@ Words are runs of letters and digits, in lower case.
    as text, which changes no containment. What is left is small where there is no leak.
 2. Items are partitioned by size into classes of powers of two. For each class the documents' left
    shingles fall into overlapping windows of twice the class's size, so that a short item in a long
-   document is compared with something of its own size; one more window is the whole document.
-3. Windows and items get MinHash values; one equal value makes a candidate. A window that holds an
-   item's 80 % and is otherwise full of other items' shingles has a Jaccard similarity of 0.2 or more,
-   and 32 values miss it with a probability below 0.001; usual leaks have 0.8 and more.
-4. Candidates are verified by their exact shingle containment over the whole document.
+   document is compared with something of its own size.
+3. Windows and items get MinHash values; one equal value makes a candidate. This can miss an item whose
+   shingles stand apart, or among many of other items.
+4. So every document that holds one of an item's keys is a candidate too. Of n shingles, 80 % of which a
+   document must hold, any 20 % and one more include one that it holds: the keys are those that the
+   fewest documents hold. No contained item is missed.
+5. Candidates are verified by their exact shingle containment over the whole document.
 
 Everything runs as DataFrame expressions. Only tables of items are broadcast, after their rows are
 counted; beyond the bound the same joins are shuffled. A passage that a third of all documents holds is
@@ -27,7 +29,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldcat.staging import cut
 
@@ -68,6 +70,16 @@ def _values() -> Column:
     return F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"m{i}").alias("value")) for i in range(HASHES)]))
 
 
+def item_keys(once: DataFrame, item_shingles: DataFrame, item_sizes: DataFrame) -> DataFrame:
+    """(item_id, shingle): of each item the shingles that the fewest documents hold, one more than may be missing."""
+    held = once.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs"))
+    counted = item_shingles.join(_maybe_broadcast(held), "shingle", "left").join(item_sizes.select("item_id", "n_shingles"), "item_id")
+    by_docs = Window.partitionBy("item_id").orderBy(F.coalesce("docs", F.lit(0)), "shingle")
+    ranked = counted.withColumn("rank", F.row_number().over(by_docs))
+    needed = F.ceil(F.col("n_shingles") * PERCENT / 100)
+    return cut(ranked.where((F.col("rank") <= F.col("n_shingles") - needed + 1) & F.col("docs").isNotNull()).select("item_id", "shingle"))
+
+
 def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, overlap, n_shingles) for every item that a document contains."""
     words = items.select("item_id", words_of(F.col("text").cast("string")).alias("words")).where(F.size("words") > 0)
@@ -87,8 +99,8 @@ def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     held = texts.select("doc_id", F.posexplode(shingles_of(F.col("text"), sizes)).alias("at", "shingle"))
     left = cut(held.join(known, "shingle"))
 
-    # Windows of class c have 2^(c+1) places, one every 2^c; class -1 is the whole document.
-    places = [F.struct(F.lit(-1).alias("class"), F.lit(0).alias("window"))]
+    # Windows of class c have 2^(c+1) places, one every 2^c.
+    places = []
     least = F.lit(1)
     for c in classes:
         nth = F.floor(F.col("at") / F.lit(2**c)).cast("int")
@@ -99,12 +111,14 @@ def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     signed = windows.groupBy("doc_id", "class", "window").agg(F.count(F.lit(1)).alias("n"), *_minima("shingle"))
     signed = signed.where(F.col("n") >= least)  # fewer cannot be 80 % of the smallest item of the class
     values = signed.select("doc_id", "class", _values().alias("v")).select("doc_id", "class", "v.*").distinct()
-    by_class = item_sizes.select("item_id", F.explode(F.array("class", F.lit(-1))).alias("class"), *[f"m{i}" for i in range(HASHES)])
-    item_values = by_class.select("item_id", "class", _values().alias("v")).select("item_id", "class", "v.*")
-    candidates = values.join(_maybe_broadcast(item_values), ["class", "i", "value"]).select("doc_id", "item_id").distinct()
+    item_values = item_sizes.select("item_id", "class", _values().alias("v")).select("item_id", "class", "v.*")
+    near = values.join(_maybe_broadcast(item_values), ["class", "i", "value"]).select("doc_id", "item_id")
+    once = cut(left.select("doc_id", "shingle").distinct())
+    holding = once.join(_maybe_broadcast(item_keys(once, item_shingles, item_sizes)), "shingle").select("doc_id", "item_id")
+    candidates = near.union(holding).distinct()
 
     wanted = candidates.join(_maybe_broadcast(item_shingles), "item_id")
-    once = left.select(F.col("doc_id").alias("held_by"), "shingle").distinct()
+    once = once.withColumnRenamed("doc_id", "held_by")
     met = wanted.join(once, (wanted["doc_id"].eqNullSafe(once["held_by"])) & (wanted["shingle"] == once["shingle"]), "left_semi")
     counted = met.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("overlap"))
     found = counted.join(_maybe_broadcast(item_sizes.select("item_id", "n_shingles")), "item_id")

@@ -77,3 +77,19 @@ def test_no_python_in_the_plan(spark):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     plan = decontaminate(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_scattered_items_beside_many_others(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(50_000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=44))) for i in range(240)]
+    docs = []
+    for d in range(20):
+        apart = items[d][1].split()
+        cuts = [apart[:22], apart[18:]]  # all but a few words of the item, at both ends of the document
+        others = [items[20 + (11 * d + k) % 220][1].split() for k in range(100)]
+        docs.append((d, " ".join(sum([cuts[0], *others, cuts[1]], []))))
+    docs += [(d + 100, " ".join(items[d][1].split()[:39])) for d in range(20)]  # 35 of 40 shingles
+    docs += [(d + 200, " ".join(items[d][1].split()[:35])) for d in range(20)]  # 31 of 40: too few
+    want = check(spark, docs, items)
+    assert all(d in want[d] and d in want[d + 100] and not want[d + 200] for d in range(20))
