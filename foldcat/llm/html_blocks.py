@@ -2,9 +2,14 @@
 
 A page is cut into blocks at block-level tags. The first pass decides a block by where it stands
 (menus, headers, footers, adverts, forms and such never hold the article), by link density, and by
-length and stop-word density. What stays open, short blocks above all, takes the label of the nearest
-decided block of its region in the second pass: the article or main element is one region, all else
-another. Where a region has no decided block, open blocks of an article are text and others are not.
+length and stop-word density. A long block without known stop words is text if it has no links to speak
+of and ends sentences, as in other languages; characters of scripts without spaces count as half a word.
+What stays open, short blocks above all, takes the label of the nearest decided block of its region in
+the second pass: each article or main element is one region, all else another.
+
+An element is a feature and no verdict: what the first pass finds to be text is kept wherever it stands.
+The region with the most such text is the article. Where a region has no decided block, its open blocks
+are text if it is the article and an element, or if it is an element and no region has text; others not.
 
 Defined results: NULL or empty html, and html without text blocks, give the empty text. Character
 references are decoded once, white space (also no-break) inside a block becomes one space. Unclosed
@@ -52,6 +57,9 @@ _SHORT_WORDS = 12
 _LONG_WORDS = 25
 _STOP_DENSITY = 0.12
 _LINK_DENSITY = 0.5
+# Ends of sentences in most scripts, and characters of scripts that put no spaces between words.
+_SENTENCE = re.compile(r"[.!?\u2026](?=[\s\"'\u00bb\u201d\u2019)]|\Z)|[\u3002\uff01\uff1f\u0964\u06d4\u061f\u17d4\u1362]")
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
@@ -164,25 +172,33 @@ def blocks(page: str) -> list[tuple[str, float, bool, int]]:
     return result
 
 
-def decide(text: str, link_density: float, outside: bool, region: int) -> bool | None:
+def decide(text: str, link_density: float, outside: bool) -> bool | None:
     """First pass: True for text, False for what is not, None for open."""
     if outside:
         return False
-    if link_density > _LINK_DENSITY:
-        return None if region and link_density < 1 else False
     words = text.lower().split()
-    if len(words) < _SHORT_WORDS:
+    size = len(words) + len(_UNSPACED.findall(text)) // 2
+    stops = sum([w.strip(".,;:!?\"'()") in STOP_WORDS for w in words]) / max(1, len(words))
+    if link_density > _LINK_DENSITY:  # a long paragraph full of links may still be one
+        return None if link_density < 1 and size >= _LONG_WORDS and stops >= _STOP_DENSITY else False
+    if size < _SHORT_WORDS:
         return None
-    stops = sum([w.strip(".,;:!?\"'()") in STOP_WORDS for w in words]) / len(words)
-    if stops >= _STOP_DENSITY and link_density <= _LINK_DENSITY / 2:
+    few_links = link_density <= _LINK_DENSITY / 2
+    if stops >= _STOP_DENSITY and few_links:
         return True
-    if len(words) >= _LONG_WORDS and not region and stops < _STOP_DENSITY / 3:
-        return False
+    if size >= _LONG_WORDS and stops < _STOP_DENSITY / 3:
+        if not few_links:
+            return False
+        if _SENTENCE.search(text):
+            return True
     return None
 
 
-def settle(labels: list[bool | None], regions: list[int]) -> list[bool]:
-    """Second pass: open blocks take the label of the nearest decided block of their region."""
+def settle(labels: list[bool | None], regions: list[int], articles: set[int] | None = None) -> list[bool]:
+    """Second pass: open blocks take the label of the nearest decided block of their region.
+
+    Without one they are text in ``articles``, by default all elements.
+    """
     n = len(labels)
     before: list[tuple[int, bool] | None] = [None] * n
     after: list[tuple[int, bool] | None] = [None] * n
@@ -196,7 +212,7 @@ def settle(labels: list[bool | None], regions: list[int]) -> list[bool]:
     for i, label in enumerate(labels):
         if label is None:
             near = [(abs(found[0] - i), not found[1]) for found in (before[i], after[i]) if found]
-            label = not min(near)[1] if near else regions[i] > 0
+            label = not min(near)[1] if near else regions[i] > 0 and (articles is None or regions[i] in articles)
         result.append(label)
     return result
 
@@ -206,13 +222,16 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    labels = [decide(*b) for b in found]
+    labels = [decide(*b[:3]) for b in found]
     # What is known to lie outside says nothing about the article around it.
     regions = [-1 if outside else region for _, _, outside, region in found]
-    if any(regions[i] > 0 for i in range(len(found))):  # with an article, text elsewhere is not it
-        labels = [False if r == 0 else x for x, r in zip(labels, regions)]
-        # Nor is a page of several articles more than the one with the most text.
-    return "\n\n".join([b[0] for b, keep in zip(found, settle(labels, regions)) if keep])
+    amounts: dict[int, int] = {}
+    for (text, *_), label, region in zip(found, labels, regions):
+        if label:
+            amounts[region] = amounts.get(region, 0) + len(text)
+    # The first of equals is the article, an element before all else.
+    articles = {max(amounts, key=lambda r: (amounts[r], r > 0, -r))} if amounts else None
+    return "\n\n".join([b[0] for b, keep in zip(found, settle(labels, regions, articles)) if keep])
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

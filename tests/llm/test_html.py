@@ -63,3 +63,29 @@ def test_odd_rows(spark):
     assert len(got) == 4 and all(r.n_chars == len(r.text) for r in got)
     assert max(r.n_chars for r in got) == 9 * 300_000 - 1
     assert extract_pages(pages.limit(0)).count() == 0
+
+
+POLISH = "Wisła jest najdłuższą rzeką kraju. " + "Płynie przez wiele miast, łąk oraz lasów aż do morza, gdzie kończy swój długi bieg. " * 3
+CHINESE = "这条河流是全国最长的河流之一，它穿过许多城市和森林，最后流入大海。" * 4
+LINKS = "<a href='x'>" + "python spark java scala hive kafka flink " * 4 + "</a> more"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # The prose stands in a div, a related story in an article element.
+        (f"<div><p>{LONG}</p><p>{LONG}</p></div><article class='card'><h3>Next</h3><p>Short teaser.</p></article>", f"{LONG}\n\n{LONG}"),
+        # Prose beside the element is kept, short blocks that only an element would save are not.
+        (f"<div><p>{LONG}</p></div><article><h1>T</h1><p>{LONG}</p><p>{LONG}</p></article>", f"{LONG}\n\nT\n\n{LONG}\n\n{LONG}"),
+        # Of several elements the one with the most text is the article.
+        (f"<article><p>Teaser.</p></article><article><h1>T</h1><p>{LONG}</p></article><article><p>Other.</p></article>", f"T\n\n{LONG}"),
+        ("<article><p>x</p></article><article><p>y</p></article>", "x\n\ny"),
+        # Link density and length reject inside the element.
+        (f"<article><p>{LONG}</p><p>{LINKS}</p><p>{LONG}</p></article>", f"{LONG}\n\n{LONG}"),
+        # Languages whose stop words are not listed.
+        (f"<p>{POLISH}</p><p>{CHINESE}</p>", f"{POLISH.strip()}\n\n{CHINESE}"),
+        (f"<div>{'tag cloud words ' * 20}</div><p>{LONG}</p><div>{LINKS}</div>", f"{'tag cloud words ' * 20}".strip() + f"\n\n{LONG}"),
+    ],
+)
+def test_the_element_is_a_feature(page, text):
+    assert main_text(page) == text
