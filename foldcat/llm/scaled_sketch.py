@@ -14,8 +14,8 @@ A text with shingles, none of which is below, keeps its least one, so that only
 an empty fingerprint. In a merger, such a hash goes when another text brings one below.
 
 Everything runs as DataFrame expressions. To pair each document with the next one, in descending order of
-ids, only (id, digest) are sorted, by ranges. Texts are moved once, by id and digest, and of the next text
-only its fingerprint and as many characters as are used.
+ids, only (id, digest) are sorted, by ranges. Texts are moved once, by digest, with their fingerprints,
+and of the next text only that and as many characters as are used.
 
 Defined results: a NULL or empty text has an empty fingerprint; two empty ones are alike (1), an empty one
 and another are not (0). Rows of one id come by digest, NULL ids last. Rows equal in id and text are one
@@ -34,6 +34,8 @@ SHINGLE = 5
 # One of so many hashes is kept: a power of 16 or a multiple of one, see ``_below``.
 FRACTION = 8
 _DIGITS = 16
+# Of the digest that tells documents apart.
+_KEY_DIGITS = 32
 
 
 def _below(fraction: int) -> Column:
@@ -87,23 +89,40 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(either > 0, F.size(F.array_intersect(a, b)) / either).otherwise(F.lit(1.0))
 
 
-def _texts(docs: DataFrame) -> DataFrame:
+def _packed(hashes: Column) -> Column:
+    """Hashes as bytes, half as long as their digits."""
+    return F.unhex(F.array_join(hashes, ""))
+
+
+def _unpacked(packed: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.hex(packed)), F.lit(f".{{{_DIGITS}}}"), F.lit(0))
+
+
+def _texts(docs: DataFrame, size: int, fraction: int) -> DataFrame:
+    """(doc_id, key, text, packed): NULL texts are empty, the sketch is made where the text is read.
+
+    The key is a digest of id and text that is never NULL, so that joins and groups by it share a shuffle.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select("doc_id", F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"))
+    known = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    digest = F.unhex(F.left(F.sha2(F.concat(known, F.lit(":"), text), 256), F.lit(_KEY_DIGITS)))
+    texts = docs.select("doc_id", F.coalesce(digest, F.lit(b"")).alias("key"), text.alias("text"))
+    return texts.withColumn("packed", _packed(sketch(shingle_hashes(F.col("text"), size), fraction)))
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE, fraction: int = FRACTION) -> DataFrame:
     """One row per document: doc_id, hashes (its sketch)."""
-    return _texts(docs).select("doc_id", sketch(shingle_hashes(F.col("text"), size), fraction).alias("hashes"))
+    return _texts(docs, size, fraction).select("doc_id", _unpacked(F.col("packed")).alias("hashes"))
 
 
 def next_documents(texts: DataFrame) -> DataFrame:
-    """(doc_id, digest, next_id, next_digest, n_chars): in descending order of ids, after the last the first."""
-    ids = texts.select("doc_id", "digest", F.length("text").cast("long").alias("n_chars")).distinct()
-    order = cut(ranked(ids, [F.desc_nulls_last("doc_id"), F.asc("digest")], "fingerprint-order"))
+    """(doc_id, to, next, n_chars), by keys of documents: in descending order of ids, after the last the first."""
+    ids = texts.select("doc_id", "key", F.length("text").cast("long").alias("n_chars")).distinct()
+    order = cut(ranked(ids, [F.desc_nulls_last("doc_id"), F.asc("key")], "fingerprint-order"))
     total = order.count()
-    after = order.select(F.col("doc_id").alias("next_id"), F.col("digest").alias("next_digest"), F.col("rank").alias("next_rank"))
-    return order.join(after, F.col("rank") % max(total, 1) + 1 == F.col("next_rank")).drop("rank", "next_rank")
+    after = order.select(F.col("key").alias("next"), F.col("rank").alias("next_rank"))
+    pairs = order.join(after, F.col("rank") % max(total, 1) + 1 == F.col("next_rank"))
+    return pairs.select("doc_id", F.col("key").alias("to"), "next", "n_chars")
 
 
 def _joined(fingerprint: str) -> Column:
@@ -116,34 +135,24 @@ def compare_edited(docs: DataFrame, size: int = SHINGLE, fraction: int = FRACTIO
     The edited text has the second half replaced by the beginning of the next document. ``near_edited`` and
     ``near_next`` are the document's estimated containment in its edited text and in the next document.
     """
-    texts = _texts(docs)
+    texts = _texts(docs, size, fraction)
     pairs = next_documents(texts)
+    held = texts.drop("doc_id")  # both joins read the same columns, and so one shuffle
     half = F.floor(F.col("n_chars") / 2).cast("int")
-
-    def of(text: Column) -> Column:
-        return sketch(shingle_hashes(text, size), fraction)
-
-    here = texts.withColumnsRenamed({"doc_id": "from_id", "digest": "from_digest"})
-    same = here["from_id"].eqNullSafe(pairs["next_id"]) & (here["from_digest"] == pairs["next_digest"])
-    sent = here.join(pairs, same).select(
-        F.col("doc_id").alias("to_id"),
-        F.col("digest").alias("to_digest"),
-        "n_chars",
-        F.left("text", half).alias("lent"),
-        of(F.col("text")).alias("next"),
+    sent = held.join(pairs, held["key"] == pairs["next"]).select(
+        "doc_id", "to", "n_chars", F.left("text", half).alias("lent"), F.col("packed").alias("next")
     )
     # Copies of the next document send the same.
-    once = sent.groupBy("to_id", "to_digest").agg(*[F.first(c).alias(c) for c in ("n_chars", "lent", "next")])
-    met = texts["doc_id"].eqNullSafe(once["to_id"]) & (texts["digest"] == once["to_digest"])
+    once = sent.groupBy("to").agg(*[F.first(c).alias(c) for c in ("doc_id", "n_chars", "lent", "next")])
     edited = F.concat(F.left("text", (F.col("n_chars") - half).cast("int")), "lent")
-    both = texts.join(once, met).select("doc_id", "n_chars", "text", "next", edited.alias("edited"))
+    both = held.join(once, held["key"] == once["to"]).select("doc_id", "n_chars", "packed", "next", edited.alias("edited"))
     made = both.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        of(F.col("text")).alias("own"),
-        of(F.col("edited")).alias("changed"),
-        "next",
+        _unpacked(F.col("packed")).alias("own"),
+        sketch(shingle_hashes(F.col("edited"), size), fraction).alias("changed"),
+        _unpacked(F.col("next")).alias("next"),
     )
     return made.select(
         "doc_id",
