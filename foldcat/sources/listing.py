@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
+from functools import partial, reduce
 from operator import or_
 
 import pyarrow as pa
@@ -14,36 +14,54 @@ from pyspark.sql import types as T
 
 from foldcat.functions.catalogue import CLASS_BY_PREFIX, class_of, in_prefix, strip_quotes
 from foldcat.operators.partition_map import map_rows
+from foldcat.sources.listing_source import apart, read_keys
+from foldcat.sources.stores import FolderStore, Store, is_folder
 from foldcat.staging import cut
 
-RAW_SCHEMA = "Key string, ETag string, Size bigint"
 _LISTED = "Key string, Size bigint"
 _STRETCH = 1 << 20
 _HASHED_AT_ONCE = 16
 
 
 def list_objects(
-    spark: SparkSession, root: str, prefix: str | Sequence[str] = "", with_etag: bool = False
+    spark: SparkSession,
+    root: str | Callable[[], Store],
+    prefix: str | Sequence[str] = "",
+    with_etag: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Objects under ``root`` whose key starts with a prefix; none is an empty frame.
 
-    The executors list, one task per prefix and then one per folder found there, so that the driver
-    holds the prefixes only. Every file is an object, also an empty one and one whose name starts with
-    a dot or an underscore, and prefixes are taken literally. Bodies are read only for ``with_etag``.
+    A local or mounted folder, or a store that ``root`` opens, is listed by ``tasks`` ranges of keys for
+    each prefix, however its objects are spread over folders. An address is listed by one task per prefix
+    and then one per folder found there. Every file is an object, also an empty one and one whose name
+    starts with a dot or an underscore, and prefixes are taken literally. ETags are those of the listing;
+    where it has none, ``with_etag`` reads the bodies.
     """
-    prefixes = [prefix] if isinstance(prefix, str) else sorted(set(prefix))
-    # A prefix that starts with another one is listed by that one.
-    apart = [p for p in prefixes if not any(p != q and p.startswith(q) for q in prefixes)]
-    starts = spark.createDataFrame([(p.rpartition("/")[0], p) for p in apart], "folder string, prefix string")
-    shallow = cut(starts.repartition(max(1, len(apart)), "prefix").mapInArrow(_lister(root, False), _LISTED))
-    folders = shallow.filter("Size IS NULL").select(F.col("Key").alias("folder"), F.lit("").alias("prefix"))
+    if callable(root):
+        return read_keys(spark, root, prefix, tasks)
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    deep = folders.repartition(spread, "folder").mapInArrow(_lister(root, True), _LISTED)
-    found = shallow.filter("Size IS NOT NULL").unionByName(deep).select("Key", "Size")
+    if is_folder(root):
+        found = read_keys(spark, partial(FolderStore, root), prefix, tasks).select("Key", "Size")
+    else:
+        found = _list_folders(spark, root, apart(prefix), spread)
     if not with_etag:
         return found.select("Key", F.lit(None).cast("string").alias("ETag"), "Size")
+    return hash_bodies(found.repartition(spread, "Key"), root)
+
+
+def _list_folders(spark: SparkSession, root: str, prefixes: list[str], spread: int) -> DataFrame:
+    starts = spark.createDataFrame([(p.rpartition("/")[0], p) for p in prefixes], "folder string, prefix string")
+    shallow = cut(starts.repartition(max(1, len(prefixes)), "prefix").mapInArrow(_lister(root, False), _LISTED))
+    folders = shallow.filter("Size IS NULL").select(F.col("Key").alias("folder"), F.lit("").alias("prefix"))
+    deep = folders.repartition(spread, "folder").mapInArrow(_lister(root, True), _LISTED)
+    return shallow.filter("Size IS NOT NULL").unionByName(deep).select("Key", "Size")
+
+
+def hash_bodies(listed: DataFrame, root: str) -> DataFrame:
+    """Raw listing rows with the MD5 of each body as its ETag."""
     etag = T.StructType([T.StructField("ETag", T.StringType(), True)])
-    hashed = map_rows(found.repartition(spread, "Key"), _hasher(root), etag, in_flight=_HASHED_AT_ONCE)
+    hashed = map_rows(listed.select("Key", "Size"), _hasher(root), etag, in_flight=_HASHED_AT_ONCE)
     return hashed.select("Key", "ETag", "Size")
 
 

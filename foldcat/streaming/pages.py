@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from foldcat.functions.catalogue import stamp
 from foldcat.operators.upsert import upsert
 from foldcat.schemas import STORAGE
-from foldcat.sources.listing import RAW_SCHEMA, label_listing, list_objects
+from foldcat.sources.listing import hash_bodies, label_listing, list_objects
+from foldcat.sources.listing_source import RAW_SCHEMA, stream_keys
+from foldcat.sources.stores import FolderStore, Store
 from foldcat.staging import fresh_path
 
 PAGE_SIZE = 1000
@@ -33,6 +36,24 @@ def stream_objects(
     return stream_inventory(spark, inventory, files_per_page=1)
 
 
+def stream_store(
+    spark: SparkSession,
+    root: str | Callable[[], Store],
+    page_size: int = PAGE_SIZE,
+    prefix: str | Sequence[str] = "",
+) -> DataFrame:
+    """The objects of a folder or store as raw listing rows, at most ``page_size`` per micro-batch.
+
+    Pages follow the order of keys, and the last key of a page is the stream's offset: a restarted query
+    goes on behind it, and lists nothing again. A folder's bodies are hashed page by page; a store that
+    ``root`` opens gives the ETags itself. See ``sync_store``: such a stream plans a page when it is asked
+    for it, so a trigger that plans once, as available-now does, takes one page.
+    """
+    if callable(root):
+        return stream_keys(spark, root, prefix, page_size)
+    return hash_bodies(stream_keys(spark, partial(FolderStore, root), prefix, page_size), root)
+
+
 def stream_inventory(
     spark: SparkSession, path: str, files_per_page: int = PAGE_SIZE, format: str = "parquet"
 ) -> DataFrame:
@@ -57,6 +78,27 @@ def sync_pages(
     A page that is replayed after a failure overwrites its own folder, so it counts once. Pages cost
     what they hold; the catalogue itself is not touched, see ``fold_pages``.
     """
+    return _writer(listing, log, checkpoint, sync_time, prefixes).trigger(availableNow=True).start()
+
+
+def sync_store(
+    listing: DataFrame,
+    log: str,
+    checkpoint: str,
+    sync_time: str | None = None,
+    prefixes: dict[str, bool] | None = None,
+) -> None:
+    """``sync_pages`` for ``stream_store``: write page by page until there is none left."""
+    query = _writer(listing, log, checkpoint, sync_time, prefixes).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def _writer(
+    listing: DataFrame, log: str, checkpoint: str, sync_time: str | None, prefixes: dict[str, bool] | None
+) -> DataStreamWriter:
     labelled = label_listing(listing, prefixes)
     run_time = sync_time or datetime.now(timezone.utc)
 
@@ -64,12 +106,7 @@ def sync_pages(
         stamped = page.withColumn("sync_time", stamp(run_time))
         stamped.write.mode("overwrite").parquet(f"{log}/page={number}")
 
-    return (
-        labelled.writeStream.foreachBatch(write_page)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return labelled.writeStream.foreachBatch(write_page).option("checkpointLocation", checkpoint)
 
 
 def fold_pages(catalogue: DataFrame, log: str, after: int = -1) -> DataFrame:
