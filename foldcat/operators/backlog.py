@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldcat.functions.catalogue import pick_key
+from foldcat.operators.membership import BITS, anti_join
 from foldcat.schemas import FILE_KEY
 from foldcat.staging import stored
 
@@ -27,6 +28,14 @@ def unprocessed(storage: DataFrame, extracted: DataFrame) -> DataFrame:
     return storage.join(extracted.select(*FILE_KEY), FILE_KEY, "left_anti")
 
 
+def unprocessed_prefiltered(storage: DataFrame, extracted: DataFrame, bits: int = BITS) -> DataFrame:
+    """The same files. Those that a sketch of the results certainly lacks are not shuffled.
+
+    For a listing most of which has no result yet; both tables are scanned twice.
+    """
+    return anti_join(storage, extracted, FILE_KEY, bits)
+
+
 def first_files(files: DataFrame, num_files: int) -> DataFrame:
     """The first ``num_files`` in pick order, a total order, so the choice is repeatable."""
     return _first(files, num_files, [])

@@ -30,10 +30,11 @@ def incremental_extract(
     malicious: bool,
     num_files: int,
     as_of: str | None = None,
+    retry_errors: bool = False,
 ) -> DataFrame:
     """Result rows for up to ``num_files`` unprocessed files of one class."""
     batch = unprocessed_batch(storage, extracted, malicious, num_files)
-    return extract_batch(batch, extracted, extract, num_files, as_of)
+    return extract_batch(batch, extracted, extract, num_files, as_of, retry_errors)
 
 
 def balanced_extract(
@@ -42,10 +43,11 @@ def balanced_extract(
     extract: Extract,
     num_files: int = 1000,
     as_of: str | None = None,
+    retry_errors: bool = False,
 ) -> DataFrame:
     """Result rows for up to ``num_files // 2`` unprocessed files of each class."""
     batch = balanced_batch(storage, extracted, num_files)
-    return extract_batch(batch, extracted, extract, 2 * (num_files // 2), as_of)
+    return extract_batch(batch, extracted, extract, 2 * (num_files // 2), as_of, retry_errors)
 
 
 def extract_batch(
@@ -54,14 +56,18 @@ def extract_batch(
     extract: Extract,
     rows: int,
     as_of: str | None = None,
+    retry_errors: bool = False,
 ) -> DataFrame:
     """Result rows for a batch of at most ``rows`` files: carried from twins, or extracted.
 
     The batch, and the batch beside its twins, are computed once and kept: appending the result to
     ``extracted`` cannot change what later steps see, and each table is scanned once per use. The
     result is one frame, to be written in one append. It fails on a file that the extractor gave no
-    result for.
+    result for. A recorded error is carried like any result; with ``retry_errors`` it is not, and files
+    of that content are extracted (see ``plans.retry`` for rows that are recorded already).
     """
+    if retry_errors:
+        extracted = extracted.filter("status <> 'ERROR'")
     batch = stored(batch, "batch")
     if rows > BOUNDED_ROWS:
         rows = batch.count()  # a generous budget says little; the stored batch is quickly counted

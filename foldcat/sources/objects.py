@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from foldcat.functions.pe import pe_metadata
 from foldcat.functions.pe_python import ExtractionError, extract_pe, in_blocks, reader_of
 from foldcat.operators.lookup import BOUNDED_ROWS
+from foldcat.operators.membership import chance_members
 from foldcat.operators.partition_map import map_rows
 from foldcat.schemas import LISTING, METADATA
+from foldcat.sources.etags import PART_SIZES, body_matches
 from foldcat.sources.listing import open_store
 
 # (files, bound) -> the same files with metadata columns. Files come one per content with at least
@@ -23,6 +25,8 @@ Extract = Callable[[DataFrame, int | None], DataFrame]
 _IN_FLIGHT = 16
 # What is read of an object at once when only its headers are wanted.
 _BLOCK = 64 * 1024
+# What is read at once when the whole body is wanted.
+_STRETCH = 1 << 20
 
 
 def fetch_contents(
@@ -65,10 +69,41 @@ def put_contents(files: DataFrame, root: str, tasks: int | None = None) -> DataF
     return map_rows(_spread(files, None, tasks), open_sink, added, drop=("content",), in_flight=_IN_FLIGHT)
 
 
-def extract_from_store(root: str, tasks: int | None = None) -> Extract:
+def _stretches(body) -> Iterator[bytes]:
+    """From where the body stands to its end."""
+    while stretch := body.read(_STRETCH):
+        yield stretch
+
+
+def verify_contents(
+    files: DataFrame, root: str, rows: int | None = None, tasks: int | None = None, part_sizes: Sequence[int] = PART_SIZES
+) -> DataFrame:
+    """Add ``verified``: whether the object ``name`` still has the ETag ``hash``, plain or of parts.
+
+    Bodies are streamed; a key that is not there fails the task.
+    """
+
+    def open_bodies() -> Callable[[dict], dict]:
+        filesystem, base = open_store(root)
+
+        def verify(row: dict) -> dict:
+            with filesystem.open_input_file(f"{base}/{row['name']}") as body:
+                return {"verified": body_matches(row["hash"], body.size(), _stretches(body), part_sizes)}
+
+        return verify
+
+    added = T.StructType([T.StructField("verified", T.BooleanType(), True)])
+    return map_rows(_spread(files, rows, tasks), open_bodies, added, in_flight=_IN_FLIGHT)
+
+
+def extract_from_store(
+    root: str, tasks: int | None = None, verify_hash: bool = False, part_sizes: Sequence[int] = PART_SIZES
+) -> Extract:
     """Extract by reading the header ranges of each object; bodies are not moved.
 
-    A body that cannot be opened fails the task; one whose bytes cannot be read is an ERROR row.
+    A body that cannot be opened fails the task; one whose bytes cannot be read is an ERROR row. With
+    ``verify_hash`` each body is read whole first, and one that is not the listed one any more is an ERROR
+    row too, instead of metadata of new bytes under the old hash.
     """
 
     def open_bodies() -> Callable[[dict], dict]:
@@ -77,6 +112,8 @@ def extract_from_store(root: str, tasks: int | None = None) -> Extract:
         def extract(row: dict) -> dict:
             with filesystem.open_input_file(f"{base}/{row['name']}") as body:
                 try:
+                    if verify_hash and not body_matches(row["hash"], body.size(), _stretches(body), part_sizes):
+                        raise ExtractionError("the body is not the listed one")
                     read = in_blocks(lambda at, width: body.read_at(width, at), _BLOCK)
                     return extract_pe(read, body.size())
                 except OSError as error:
@@ -94,8 +131,9 @@ def extract_from_store(root: str, tasks: int | None = None) -> Extract:
 def extract_from_contents(contents: DataFrame) -> Extract:
     """Extract from a frame (name, content), never moving a body through a shuffle.
 
-    A bounded number of files is broadcast and only their bodies are parsed. Otherwise every body is
-    parsed where it is scanned, and the narrow result joins the files; see ``extract_from_bucketed``.
+    A bounded number of files is broadcast. Otherwise a sketch of their names goes to the bodies, and the
+    narrow result joins the files. Either way only the bodies of the files are parsed (and of a few others
+    that the sketch takes for them), but all are scanned; see ``sources.bodies`` for a layout that is not.
     """
 
     def run(files: DataFrame, rows: int | None = None) -> DataFrame:
@@ -103,7 +141,7 @@ def extract_from_contents(contents: DataFrame) -> Extract:
         if rows is not None and rows <= BOUNDED_ROWS:
             parsed = pe_metadata(bodies.join(F.broadcast(files), "name"))
         else:
-            parsed = pe_metadata(bodies).join(files, "name")
+            parsed = pe_metadata(chance_members(bodies, files, ["name"])).join(files, "name")
         return parsed.select(*LISTING.names, *METADATA.names)
 
     return run
