@@ -90,6 +90,33 @@ def with_expected_metadata(files: DataFrame) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as an object body (name, content) that is its text."""
+    return table(spark, sf_dir, "documents").select(object_name().alias("name"), F.col("text").cast("binary").alias("content"))
+
+
+def etag_of_parts(content: str, part: int) -> Column:
+    """The ETag of a body, composite if it was put in two parts, as bodies of more than one part are here."""
+    halves = [F.md5(F.substring(content, 1, part)), F.md5(F.substring(content, part + 1, part))]
+    composite = F.concat(F.md5(F.unhex(F.concat(*halves))), F.lit("-2"))
+    size = F.octet_length(content)
+    return F.when((size > part) & (size <= 2 * part), composite).otherwise(F.md5(content))
+
+
+def retry_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts at some of the failed contents: as many as the second digit says, the last when results were made."""
+    failed = extracted(spark, sf_dir).filter("status = 'ERROR'").select("hash").distinct()
+    tried = failed.filter(_digit(2) > 0).select("hash", _digit(2).alias("attempts"))
+    return tried.withColumn("last_tried", stamp(EXTRACTED_AT))
+
+
+def mended_binaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bodies, where of the broken ones those with an even third digit are PE files now."""
+    bodies = table(spark, sf_dir, "documents").select(object_name().alias("name"), F.md5("text").alias("hash"), "text")
+    mended = F.when((_digit(1) == 15) & (_digit(3) % 2 == 0), F.concat(F.lit("0"), F.substring("hash", 2, 31)))
+    return bodies.withColumn("hash", F.coalesce(mended, "hash")).select("name", "hash", binary_of("text").alias("content"))
+
+
 def binaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as an object body (name, hash, content)."""
     named = table(spark, sf_dir, "documents").select(

@@ -94,6 +94,20 @@ FROM before t FULL JOIN folded i ON t.name = i.name AND t.hash = i.hash
 """
 _PE_COLUMNS = "name, hash, architecture, num_imports, num_exports, type, status"
 
+# A content that failed was tried as often as its second digit says, else once. Between the results and
+# the run lie 24 hours; the wait is an hour, doubled with each attempt, and six attempts are the most.
+_RETRIES = """
+, failed AS (
+  SELECT *, attempts < 6 AND power(2, attempts - 1) <= 24 AS due FROM (
+    SELECT DISTINCT e.hash, g.h2, g.h3, g.h4, cast(greatest(g.h2, 1) AS int) AS attempts,
+      TIMESTAMP '2023-12-05 00:00:00' AS last_tried
+    FROM extracted e JOIN digits g ON e.hash = g.hash WHERE e.status = 'ERROR')),
+mended AS (
+  SELECT hash, 'x64' AS architecture, cast(h2 AS int) AS num_imports, cast(h4 AS int) AS num_exports,
+    'dll' AS type, 'EXTRACTED' AS status
+  FROM failed WHERE due AND h3 % 2 = 0)
+"""
+
 _TAILS = {
     "listing_catalogue": "SELECT * FROM storage",
     "one_prefix_listing": "SELECT name, hash, malicious FROM storage WHERE name LIKE '1%'",
@@ -136,8 +150,26 @@ _TAILS = {
     "balanced_extract": _extraction("SELECT * FROM ranked WHERE place <= 201 // 2") + _RESULT,
     "incremental_batch": _extraction("SELECT * FROM ranked WHERE NOT malicious AND place <= 99") + _RESULT,
     "store_extract": _extraction("SELECT * FROM ranked WHERE place <= 201 // 2") + _RESULT,
-    "object_listing": """SELECT name AS Key, '"' || hash || '"' AS ETag, CAST(size AS bigint) AS Size
-        FROM ranked WHERE place <= 201 // 2""",
+    "object_listing": """SELECT replace(name, '/', '-') AS Key, '"' || hash || '"' AS ETag, CAST(size AS bigint) AS Size
+        FROM storage""",
+    "keyed_sync": _UPSERTED.format(where="WHERE ord = 1"),
+    "partitioned_sync": _UPSERTED.format(where="WHERE ord = 1"),
+    "contents_by_prefix": """SELECT substr(name, 1, 1) AS prefix, count(*) AS files,
+        count(DISTINCT hash) AS exact, true AS close
+        FROM (SELECT name, hash FROM before UNION ALL SELECT name, hash FROM storage) GROUP BY 1""",
+    "verified_bodies": "SELECT name, name NOT LIKE '%3' AS verified FROM storage",
+    "slot_extract": _extraction("SELECT * FROM ranked WHERE place <= 201 // 2") + _RESULT,
+    "unprocessed_prefiltered": "SELECT * FROM waiting",
+    "retried_results": f"""{_RETRIES}
+        SELECT e.name, e.hash, e.size, coalesce(m.architecture, e.architecture) AS architecture,
+          coalesce(m.num_imports, e.num_imports) AS num_imports, coalesce(m.num_exports, e.num_exports) AS num_exports,
+          coalesce(m.type, e.type) AS type, coalesce(m.status, e.status) AS status, e.malicious,
+          CASE WHEN m.hash IS NULL THEN e.created_at ELSE TIMESTAMP '2023-12-06 00:00:00' END AS created_at
+        FROM extracted e LEFT JOIN mended m ON e.hash = m.hash""",
+    "retry_ledger": f"""{_RETRIES}
+        SELECT hash, attempts, last_tried FROM failed WHERE h2 > 0 AND NOT due
+        UNION ALL
+        SELECT hash, attempts + 1, TIMESTAMP '2023-12-06 00:00:00' FROM failed WHERE due AND h3 % 2 = 1""",
     "append_results": _extraction("SELECT * FROM ranked WHERE place <= 201 // 2")
     + _RESULT
     + " UNION ALL SELECT * FROM extracted",

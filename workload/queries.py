@@ -9,21 +9,35 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from foldcat.functions.catalogue import content_id
 from foldcat.functions.pe import pe_metadata
 from foldcat.operators import backlog, content, integrity, twins
+from foldcat.operators.contents import content_sketches, count_contents
 from foldcat.operators.upsert import fold_conflicts, upsert
 from foldcat.plans import extract as plans
+from foldcat.plans.retry import retry_errors
 from foldcat.plans.sync import sync
 from foldcat.schemas import EXTRACTED, FILE_KEY, STORAGE
 from foldcat.sources import tables
+from foldcat.sources.bodies import extract_from_slots, save_slots
 from foldcat.sources.listing import label_listing, list_objects
-from foldcat.sources.objects import extract_from_contents, extract_from_store, extract_rows, put_contents
-from foldcat.staging import cut, fresh_path
-from foldcat.streaming.pages import fold_pages, stream_inventory, sync_pages
+from foldcat.sources.objects import (
+    extract_from_contents,
+    extract_from_store,
+    extract_rows,
+    put_contents,
+    verify_contents,
+)
+from foldcat.sources.partitioned import read_parts, sync_parts, upsert_parts
+from foldcat.staging import cut, fresh_path, stored
+from foldcat.streaming.pages import fold_pages, stream_inventory, stream_store, sync_pages, sync_store
 from workload import inputs
 
 # The budget of a run, half of it for each class; one file is left over. It binds on all given tables.
 NUM_FILES = 201
 # A budget beyond any backlog here: everything that waits is taken.
 ALL_FILES = 2**31 - 1
+# Objects in a page of the stream of keys, bytes in a part of a composite ETag, slots of the table of bodies.
+KEYS_A_PAGE = 2_500
+PART = 2_048
+SLOTS = 64
 
 
 def listing_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,16 +179,69 @@ def store_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The objects of a run's batch, written to a store by executors and listed there."""
+    """All documents as objects of one folder, listed by ranges of keys."""
     root = fresh_path(spark, "objects")
-    batch = balanced_batch(spark, sf_dir).select("name")
-    texts = inputs.table(spark, sf_dir, "documents").select(
-        inputs.object_name().alias("name"), F.col("text").cast("binary").alias("content")
-    )
-    cut(put_contents(texts.join(batch, "name", "left_semi"), root))
+    texts = inputs.texts(spark, sf_dir).withColumn("name", F.translate("name", "/", "-"))
+    cut(put_contents(texts, root))
     return list_objects(spark, root, ["0", "1"], with_etag=True)
 
 
+def keyed_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as objects, listed as a stream of pages by key and folded into the earlier catalogue."""
+    root, log = fresh_path(spark, "objects"), fresh_path(spark, "pages")
+    cut(put_contents(inputs.texts(spark, sf_dir), root))
+    pages = stream_store(spark, root, KEYS_A_PAGE)
+    sync_store(pages, log, fresh_path(spark, "offsets"), inputs.RESYNCED_AT)
+    return fold_pages(inputs.catalogue_before(spark, sf_dir), log)
+
+
+def verified_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which objects still have their listed ETag, some of two parts, after every tenth one changed."""
+    root = fresh_path(spark, "objects")
+    texts = inputs.texts(spark, sf_dir)
+    changed = F.concat("content", F.lit(b"!"))
+    cut(put_contents(texts.withColumn("content", F.when(F.col("name").endswith("3"), changed).otherwise(F.col("content"))), root))
+    listed = texts.select("name", inputs.etag_of_parts("content", PART).alias("hash"))
+    return verify_contents(listed, root, part_sizes=[PART]).select("name", "verified")
+
+
+def slot_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run with the default budget over bodies that are laid out by slots of their name."""
+    path = fresh_path(spark, "bodies")
+    save_slots(inputs.binaries(spark, sf_dir), path, SLOTS)
+    return plans.balanced_extract(
+        inputs.storage(spark, sf_dir),
+        inputs.extracted(spark, sf_dir),
+        extract_from_slots(spark, path, SLOTS),
+        NUM_FILES,
+        inputs.AS_OF,
+    )
+
+
+def unprocessed_prefiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The backlog, of which certain misses are not shuffled."""
+    return backlog.unprocessed_prefiltered(inputs.storage(spark, sf_dir), inputs.extracted(spark, sf_dir))
+
+
+def _retried(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return retry_errors(
+        inputs.extracted(spark, sf_dir),
+        inputs.retry_ledger(spark, sf_dir),
+        extract_from_contents(inputs.mended_binaries(spark, sf_dir)),
+        inputs.AS_OF,
+    )
+
+
+def retried_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result table after contents that had failed were tried again, some of them mended."""
+    return _retried(spark, sf_dir)[0]
+
+
+def retry_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger of attempts says after that."""
+    return _retried(spark, sf_dir)[1]
+
+
 def balanced_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run with the default budget."""
     return plans.balanced_extract(
@@ -215,6 +282,26 @@ def microbatch_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold_pages(inputs.catalogue_before(spark, sf_dir), log)
 
 
+def partitioned_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue in parts, synced in place: only the parts that a listing touches are rewritten."""
+    path = fresh_path(spark, "catalogue")
+    upsert_parts(spark, path, inputs.catalogue_before(spark, sf_dir), parts=SLOTS)
+    sync_parts(spark, path, inputs.listing(spark, sf_dir), inputs.RESYNCED_AT, parts=SLOTS)
+    return read_parts(spark, path)
+
+
+def contents_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From sketches of two listings: files of both, and whether the number of contents is right to 2 %."""
+    before = inputs.catalogue_before(spark, sf_dir)
+    listings = [before, inputs.storage(spark, sf_dir)]
+    sketches = [stored(content_sketches(files), "sketches") for files in listings]
+    counted = count_contents(sketches[0].unionByName(sketches[1]))
+    both = listings[0].select("name", "hash").unionByName(listings[1].select("name", "hash"))
+    exact = both.groupBy(F.substring("name", 1, 1).alias("prefix")).agg(F.count_distinct("hash").alias("exact"))
+    close = F.abs(F.col("contents") - F.col("exact")) <= 0.02 * F.col("exact")
+    return counted.join(exact, "prefix").select("prefix", "files", "exact", close.alias("close"))
+
+
 def relabelled_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only one prefix is listed: files of the other one are left out."""
     return label_listing(inputs.listing(spark, sf_dir), {"1": True}).select(*FILE_KEY, "malicious")
@@ -251,4 +338,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sync_catalogue": sync_catalogue,
     "microbatch_sync": microbatch_sync,
     "object_listing": object_listing,
+    "keyed_sync": keyed_sync,
+    "verified_bodies": verified_bodies,
+    "slot_extract": slot_extract,
+    "unprocessed_prefiltered": unprocessed_prefiltered,
+    "retried_results": retried_results,
+    "retry_ledger": retry_ledger,
+    "partitioned_sync": partitioned_sync,
+    "contents_by_prefix": contents_by_prefix,
 }
