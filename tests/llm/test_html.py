@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -89,3 +90,67 @@ LINKS = "<a href='x'>" + "python spark java scala hive kafka flink " * 4 + "</a>
 )
 def test_the_element_is_a_feature(page, text):
     assert main_text(page) == text
+
+
+ARTICLE = f"<h1>T</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+WANTED = f"T\n\n{LONG}\n\nShort.\n\n{LONG}"
+READER = "<p>I think that this is one of the best of all of them and I read it with a lot of joy.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>x</title><body><article>{ARTICLE}</article></body></html>",
+        f"<html><head><meta charset=utf-8><title>x<body><article>{ARTICLE}</article><svg><title>i</title></svg>",
+        f"<body><datalist><option value=a></datalist><article>{ARTICLE}</article>",
+        f"<body><select><option>a<option>b</select><button>Menu<article>{ARTICLE}</article><button>ok</button>",
+        f"<body><nav><button>Menu</nav><article>{ARTICLE}</article><textarea>",
+        f"<body><form action=x method=post><div>{ARTICLE}</div><input name=v></form>",
+        f"<body><form id=aspnetForm><nav><a>Home</a></nav><article>{ARTICLE}</article></form>",
+        f'<body class="has-sidebar"><article class="post comments-open">{ARTICLE}</article></body>',
+        f'<body class="home search"><div class="search-results-page">{ARTICLE}</div></body>',
+        f'<body><main class="social page">{ARTICLE}</main>',
+        f'<body><div class="layout sidebar-right"><div>{ARTICLE}</div></div>',
+        f'<body><div class="with-sidebar widget">{ARTICLE}</div>',
+        f"<body><article><p class=it's></p>{ARTICLE}</article>",
+        f"<body><article><a title=\"it's\" rel=don't></a>{ARTICLE}</article>",
+        f'<article>{ARTICLE}</article><ol class="commentlist"><li>{READER}</ol>',
+        f'<article>{ARTICLE}</article><div class="userComments">{READER * 9}</div>',
+        f'<article>{ARTICLE}</article><section id="comments"><article class="comment-body">{READER * 9}</article></section>',
+        f'<article>{ARTICLE}</article><article class="comment">{READER * 9}</article>',
+        f'<div class="topnav">the home of the of and a the list of all of it in a row here</div><article>{ARTICLE}</article>',
+        f'<article>{ARTICLE}<svg><text>the of and a to in is that it for was on are as</text></svg></article>',
+        f"<script>var a = '<p>';</script><style>p {{ }}</style><article>{ARTICLE}</article><script>if (a < b) {{ x('</p>')",
+        f"<article>{ARTICLE}<object>",
+        f"<nav>the of and a to in is that it for was on are<div><article>{ARTICLE}</article></div>",
+    ],
+)
+def test_pages_as_they_are_written(page):
+    assert main_text(page).replace("the of and a to in is that it for was on are\n\n", "") == WANTED
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a '" * 250_000,
+        "<a =\"" * 200_000,
+        "<a x='\"" * 150_000,
+        "<b>" * 150_000 + "</i>" * 150_000,
+        "<p><table><tr><td>" + "<b>" * 150_000 + "</p>" * 150_000,
+        "<![CDATA[" * 110_000,
+        "<a" * 500_000,
+        "<!" * 500_000,
+        "<button>" * 120_000,
+        "<option><title>" * 60_000,
+        "<script>" * 120_000,
+        "<svg><li>" * 100_000,
+        "<div class='sidebar'>" * 50_000 + LONG,
+        "&" * 1_000_000,
+        "<p " + "class " * 160_000 + ">" + LONG,
+        "<" * 1_000_000,
+    ],
+)
+def test_a_megabyte_of_anything_takes_little_time(page):
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 4
