@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 from foldcat.llm.url_templates import judge_urls
@@ -76,8 +77,10 @@ def test_the_base_rate_condemns_no_host(spark):
     got = judge_urls(pages, RULES).collect()
     labelled = {r.host for r in got if r.rule}
     free = [r for r in got if not r.rule]
-    assert {r.verdict for r in free} == {"allow", "block"}
     assert {(r.verdict, r.bad_share) for r in free if r.host not in labelled} == {("allow", None)}
+    # Where the rules name some branches of a host and only block, the others are not judged.
+    assert {(r.verdict, r.bad_share) for r in free if r.host in labelled} == {("allow", None)}
+    assert {r.verdict for r in got if r.host.endswith(".net")} == {"allow", "block"}
     # What has no label is not merged with what is blocked.
     blocked = {(r.host, r.template) for r in got if r.rule and r.verdict == "block"}
     assert not blocked & {(r.host, r.template) for r in free}
@@ -89,3 +92,114 @@ def test_one_good_label_outweighs_the_base_rate(spark):
     labels = spark.createDataFrame([(30, False)], "page_id long, bad boolean")
     got = {r.path + r.host: r.verdict for r in judge_urls(pages, [("net/es/", "block")], labels).collect()}
     assert got["/x/1a.com"] == got["/y/1a.com"] == got["/x/1b.com"] == "allow"
+
+
+def plain_shape(path):
+    path = re.sub(r"(?<![A-Za-z0-9])(?=[a-f0-9]*[0-9])[0-9a-f]{8,}(?:-[0-9a-f]{4,})*(?![A-Za-z0-9])", "<h>", path)
+    return re.sub(r"[0-9]+", "<n>", path)
+
+
+def plain_templates(rows):
+    """Of (shape, bad) rows of one host: the template of each shape, one segment at a time."""
+    named = {shape: ("", shape[1:].split("/") if len(shape) > 1 else []) for shape, _ in rows}
+    done = {}
+    while named:
+        branches = {}
+        for shape, (template, rest) in named.items():
+            if rest:
+                branches.setdefault(template, {}).setdefault(rest[0], set()).add(shape)
+            else:
+                done[shape] = template
+        after = {}
+        for template, children in branches.items():
+            counts = {}
+            for segment, shapes in children.items():
+                labels = [bad for shape, bad in rows if shape in shapes]
+                known = [bad for bad in labels if bad is not None]
+                counts[segment] = (len(labels), len(known), sum(known))
+            n, known, bad = (sum(c[i] for c in counts.values()) for i in range(3))
+            for segment, (own_n, own, own_bad) in counts.items():
+                comparable = 0 < own < known and 0 < bad < known
+                differs = False
+                if comparable:
+                    p = bad / known
+                    error = (p * (1 - p) * (1 / own + 1 / (known - own))) ** 0.5
+                    differs = abs(own_bad / own - (bad - own_bad) / (known - own)) > 1.96 * error
+                rare = len(counts) > 20 and (own_n * len(counts) < n or own_n * len(counts) == n and not differs)
+                called = "*" if rare or comparable and not differs else segment
+                for shape in children[segment]:
+                    after[shape] = (f"{template}/{called}", named[shape][1][1:])
+        named = after
+    return done
+
+
+def plain_verdicts(rows):
+    """(template, share, verdict) of each (host, path, bad), the labels handed in."""
+    hosts = {}
+    for host, path, bad in rows:
+        hosts.setdefault(host, []).append((plain_shape(path), bad))
+    known = [bad for _, _, bad in rows if bad is not None]
+    world = min(sum(known) / len(known), 0.5)
+    result = {}
+    for host, own in hosts.items():
+        called = plain_templates(own)
+        labels = [bad for _, bad in own if bad is not None]
+        prior = (sum(labels) + 5 * world) / (len(labels) + 5)
+        for shape, template in called.items():
+            mine = [bad for other, bad in own if called[other] == template and bad is not None]
+            judged = mine or 0 < sum(labels) < len(labels)
+            share = (sum(mine) + 5 * prior) / (len(mine) + 5) if judged else None
+            result[host, shape] = (template, share)
+    return result
+
+
+def agree(spark, rows):
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, bool(b)) for i, (_, _, b) in enumerate(rows) if b is not None], "page_id long, bad boolean")
+    want = plain_verdicts(rows)
+    got = judge_urls(pages, [], labels).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        template, share = want[r.host, plain_shape(r.path)]
+        assert r.template == template, (r.host, r.path)
+        assert (r.bad_share is None) == (share is None) and (share is None or abs(r.bad_share - share) < 1e-12)
+        assert r.verdict == ("block" if share is not None and share >= 0.5 else "allow")
+    return got
+
+
+def test_random_hosts(spark):
+    rng = random.Random(4)
+    rows = []
+    for host in range(12):
+        words, worst = rng.sample("abcdefghijklmnopqrstuvwxyz", rng.choice([2, 4, 26])), rng.choice("abcd")
+        for _ in range(rng.choice([5, 60, 300])):
+            path = "".join(f"/{rng.choice(words)}{rng.choice(['', '', rng.randrange(9)])}" for _ in range(rng.randrange(5)))
+            bad = None if rng.random() < 0.3 else int(rng.random() < (0.9 if f"/{worst}" in path else 0.1))
+            rows.append((f"h{host}.org", path + rng.choice(["", "/"]), bad))
+    got = agree(spark, rows)
+    assert {r.verdict for r in got} == {"allow", "block"}
+
+
+def test_paths_of_any_depth(spark):
+    """Branches that part behind the fourth segment, and behind the two hundredth."""
+    rows = []
+    for stem in ("/a/b/c/d", "/x" * 200):
+        rows += [(f"h{len(stem)}.org", f"{stem}/bad/{w}", 1) for w in "abc" for _ in range(100)]
+        rows += [(f"h{len(stem)}.org", f"{stem}/good/{w}", 0 if k < 25 else None) for w in "abc" for k in range(33)]
+    got = agree(spark, rows)
+    assert {(r.verdict, "/good/" in r.path) for r in got} == {("block", False), ("allow", True)}
+
+
+def test_equally_long_rules(spark):
+    pages = spark.createDataFrame([(1, "http://a.b.net/es/1")], "page_id long, url string")
+    for rules in ([("net/es/1", "allow"), ("b.net/es", "block")], [("b.net/es", "block"), ("net/es/1", "allow")]):
+        (row,) = judge_urls(pages, rules).collect()
+        assert (row.rule, row.verdict) == rules[0]
+
+
+def test_extra_columns(spark):
+    rows = [(1, "http://a.net/es/1", 5), (2, "http://a.org/x", 5)]
+    names = ["host", "path", "shape", "template", "n", "_part", "a.b"]
+    plain = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    odd = spark.createDataFrame([(*r[:2], *[r[2]] * len(names)) for r in rows], ["page_id", "url", *names])
+    assert sorted(judge_urls(plain, RULES).collect()) == sorted(judge_urls(odd, RULES).collect())
