@@ -6,11 +6,11 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from foldcat.llm.text import unused
 from foldcat.staging import stored
 
 # monotonically_increasing_id: the number of the partition above, the place of the row in it below.
 _PLACE_BITS = 33
-_TIE = "_tie"
 
 
 def placed(rows: DataFrame, order: list[Column], label: str, at: str = "at") -> DataFrame:
@@ -21,9 +21,10 @@ def placed(rows: DataFrame, order: list[Column], label: str, at: str = "at") ->
     range has consecutive numbers.
     """
     spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    apart = rows.withColumn(_TIE, F.monotonically_increasing_id())
-    by = [*order, F.asc(_TIE)]
-    ranges = apart.repartitionByRange(spread, *by).sortWithinPartitions(*by).drop(_TIE)
+    tie = unused(rows, "_tie")
+    by = [*order, F.asc(tie)]
+    apart = rows.withColumn(tie, F.monotonically_increasing_id())
+    ranges = apart.repartitionByRange(spread, *by).sortWithinPartitions(*by).drop(tie)
     return stored(ranges.withColumn(at, F.monotonically_increasing_id()), label)
 
 

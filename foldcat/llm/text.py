@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Words are runs without these: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +22,19 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> str:
+    """A column name as an expression, also one with a dot."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the decimal id, modulo the number of folds; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)
