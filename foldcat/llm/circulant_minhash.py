@@ -35,14 +35,16 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from foldcat.llm.components import components
-from foldcat.llm.text import bound_batches
+from foldcat.llm.ordering import placed
+from foldcat.llm.text import bound_batches, unused
+from foldcat.operators.membership import chance_members, key_bitmap, with_chance
 from foldcat.staging import cut
 
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 32, 5
 RING = 1 << 20
-# Ids whose sets are needed are sent to all executors up to so many; beyond, texts are shuffled.
+# Ids whose sets are needed are sent to all executors up to so many; beyond, a sketch of them is.
 BROADCAST_IDS = 2_000_000
 # Blocks hold about so many members and shingles at most.
 BLOCK_MEMBERS = 1_024
@@ -132,9 +134,12 @@ def sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 found = [shingle_set(t.as_py(), size) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists(found)], names=["node", "shingles"])
 
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(ids) if few else ids, "node", "left_semi").mapInArrow(make, "node long, shingles array<long>")
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        return texts.join(F.broadcast(ids), "node", "left_semi").mapInArrow(make, "node long, shingles array<long>")
+    # A sketch of the ids goes to the texts; of the sets that are made, those of other ids go again.
+    made = chance_members(texts, ids, ["node"]).mapInArrow(make, "node long, shingles array<long>")
+    return made.join(ids, "node", "left_semi")
 
 
 def _similar(a, b):
@@ -239,9 +244,29 @@ def document_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
 
 
+def _numbered(docs: DataFrame, node: str) -> DataFrame:
+    """The documents with a number each, in the order of their ids; stored if ids are missing or repeated."""
+    own = docs["doc_id"].cast("long")
+    counts = docs.groupBy(own.alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    if counts.where("id IS NULL OR n > 1").isEmpty():
+        return docs.withColumn(node, own)
+    return placed(docs, [F.asc_nulls_last("doc_id")], "near-duplicates", node)
+
+
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """One document of each group, that of the least id, with all columns."""
-    groups = document_groups(docs, size)
-    gone = cut(groups.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct())
-    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+    """One document of each group, that of the least id, with all columns.
+
+    Every row counts as a document: of rows that share an id, or have none, one stays of each group, too;
+    rows without an id stay only if no row of their group has one.
+    """
+    node = unused(docs, "_node")
+    numbered = _numbered(docs, node)
+    groups = document_groups(numbered.select(F.col(node).alias("doc_id"), "text"), size)
+    gone = cut(groups.where("NOT kept").select(F.col("doc_id").alias(node)))
+    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        return numbered.join(F.broadcast(gone), node, "left_anti").drop(node)
+    # Only documents that a sketch of those that go does not clear are shuffled.
+    chance = unused(numbered, "_chance")
+    marked = with_chance(numbered, key_bitmap(gone, [node]), [node], into=chance)
+    rest = marked.where(chance).join(gone, node, "left_anti")
+    return marked.where(~F.col(chance)).drop(node, chance).unionByName(rest.drop(node, chance))
