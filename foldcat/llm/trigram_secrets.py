@@ -21,9 +21,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from foldcat.operators.membership import key_bitmap, with_chance
 from foldcat.staging import cut
 
-# Candidates are sent to all executors if they are no more than this; else both sides are shuffled.
+# Candidates are sent to all executors if they are no more than this; else a sketch of them is.
 BROADCAST_ROWS = 2_000_000
 _MOST_STRINGS = 64
 
@@ -204,8 +205,13 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     indexed = {r.kind for r in rules if trigram_query(r.pattern) - _ANYTHING and frozenset() not in trigram_query(r.pattern)}
     found = cut(candidates(texts, tuple(r for r in rules if r.kind in indexed)))
-    small = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    known = texts.join(F.broadcast(found) if small else found, "doc_id", "left")
+    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        known = texts.join(F.broadcast(found), "doc_id", "left")
+    else:
+        # A sketch of the candidates' ids goes to the texts. All indexed rules search those that it takes for
+        # candidates, a few others too: a rule finds nothing in a text that is none of its candidates.
+        kinds = F.when(F.col("_chance"), F.array(*[F.lit(kind) for kind in sorted(indexed)]))
+        known = with_chance(texts, key_bitmap(found, ["doc_id"]), ["doc_id"]).withColumn("kinds", kinds)
     none = F.array().cast(_SPANS)
     columns = []
     for rule in rules:

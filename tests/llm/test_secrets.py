@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+from foldcat.llm import trigram_secrets
 from foldcat.llm.trigram_secrets import BASE_RULES, MORE_RULES, RULES, candidates, find_secrets, trigram_query
 
 # The base rules as they are stated, without the lengths inside.
@@ -74,3 +75,20 @@ def test_derived_queries():
 def test_index_prunes(spark):
     docs = spark.createDataFrame([(1, "tok ken"), (2, "a token"), (3, "AKIa"), (4, None), (5, "")], "doc_id long, text string")
     assert {r.doc_id: r.kinds for r in candidates(docs, BASE_RULES[:2]).collect()} == {2: ["assign"], 3: ["access"]}
+
+
+def test_beyond_the_bound_rows_are_equal_and_no_text_moves(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = sorted(map(tuple, find_secrets(docs).collect()))
+    monkeypatch.setattr(trigram_secrets, "BROADCAST_ROWS", 0)
+    got = find_secrets(docs)
+    assert sorted(map(tuple, got.collect())) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter, (_piece" in plan and "(doc_id" not in plan.split("Join LeftOuter", 1)[1].splitlines()[0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        physical = find_secrets(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One exchange puts the sketch together; the scan of the texts has none above it.
+    assert "BroadcastHashJoin" in physical and "Exchange hashpartitioning(doc_id" not in physical
