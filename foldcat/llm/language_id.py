@@ -1,13 +1,14 @@
 """Language of a text by sparse multinomial logistic regression on TF-IDF of hashed character n-grams.
 
-Training is FTRL-proximal with elastic net, one example at a time; the softmax is then calibrated by
-one temperature on examples kept apart. Document frequencies come from all documents of the training
+Training is FTRL-proximal with elastic net, one example at a time. The L1 penalty is the greatest by which
+no more examples kept apart are wrong; on these the softmax is then calibrated by one temperature. Document frequencies come from all documents of the training
 fold, weights from a bounded sample of them.
 
 Defined results: a NULL text or one without a letter is ``und`` with score 0; rows whose id or
 language is NULL are not learned from; with one learned language all other texts get it with score 1,
 with none they are ``und``. Texts of any length are used whole. Ties go to the language that sorts
-first. Repeated rows get equal results, other columns are not read, an empty table gives no rows.
+first. Repeated rows get equal results, and of rows that share an
+id and language one is learned from at most. Other columns are not read, an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ ORDERS = (1, 2, 3)
 # At most this many documents of each language are learned from: those of the least xxhash64 of the id.
 SAMPLE_PER_LANGUAGE = 1_500
 EPOCHS = 3
+# Strengths of the L1 penalty, tried in this order as long as no more of the examples apart are wrong.
+L1 = (1e-2, 3e-2, 0.1, 0.3, 1.0)
+TEMPERATURES = (0.005, 50.0)
+_PARTS = 256
 _PIECE = 1 << 18  # code points of a long text that are hashed at a time
 
 
@@ -136,12 +141,18 @@ def fit_languages(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> L
     train = train.where((fold_of(F.col("doc_id"), 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     frequencies, total = document_frequencies(train.select("text"))
     idf = np.log((1 + total) / (1 + frequencies)) + 1
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = train.select("doc_id", "lang").distinct().withColumn("nth", F.row_number().over(first))
-    ids = F.broadcast(ids.where(F.col("nth") <= per_language).select("doc_id", "lang"))  # per_language rows a language
+    # The first of each part of a language, then the first of these: no task ranks a whole language.
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(_PARTS))
+    ids = train.select("doc_id", "lang").distinct().withColumn("part", part)
+    for group in (["lang", "part"], ["lang"]):
+        first = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_language)
+    ids = F.broadcast(ids.select("doc_id", "lang"))  # per_language rows a language
     pack = struct_udf(_packed, ["at", "counts"], ["binary", "binary"])
-    rows = train.join(ids, ["doc_id", "lang"]).select("doc_id", "lang", pack("text").alias("p")).select("doc_id", "lang", "p.*").collect()
-    rows.sort(key=lambda r: (r.lang, r.doc_id, r.at, r.counts))
+    packed = train.join(ids, ["doc_id", "lang"]).select("doc_id", "lang", pack("text").alias("p"))
+    # One row of an id and language, however often the id is repeated.
+    rows = packed.groupBy("doc_id", "lang").agg(F.min("p").alias("p")).select("doc_id", "lang", "p.*").collect()
+    rows.sort(key=lambda r: (r.lang, r.doc_id))
     names = tuple(sorted({r.lang for r in rows}))
     if len(names) < 2:
         return Languages(names, idf, np.zeros((len(names), BUCKETS + 1)), 1.0)
@@ -156,12 +167,30 @@ def fit_languages(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> L
     if apart.all() or len(set(y[~apart])) < len(names):
         apart[:] = False
     learn = np.flatnonzero(~apart)
-    weights = ftrl([x[i] for i in learn], y[learn], len(names), EPOCHS)
     held = np.flatnonzero(apart) if apart.any() else learn
-    z = np.array([weights[:, x[i][0]] @ x[i][1] for i in held])
-    grid = np.geomspace(0.05, 20, 60)
-    loss = [-np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12).mean() for t in grid]
-    return Languages(names, idf, weights, float(grid[int(np.argmin(loss))]))
+    best, weights = -1.0, np.zeros((len(names), BUCKETS + 1))
+    for l1 in L1:
+        tried = ftrl([x[i] for i in learn], y[learn], len(names), EPOCHS, l1=l1)
+        z = np.array([tried[:, x[i][0]] @ x[i][1] for i in held])
+        right = float((z.argmax(1) == y[held]).mean())
+        if right < best:
+            break  # of equally right ones the sparsest is used
+        best, weights, scores = right, tried, z
+    return Languages(names, idf, weights, temperature(scores, y[held]))
+
+
+def temperature(z: np.ndarray, y: np.ndarray) -> float:
+    """The temperature of least loss against labels that are a little less than certain.
+
+    As in Platt's scaling each label counts as if one more example of every class had been seen, so that
+    scores that part all examples rightly do not call for ever greater certainty.
+    """
+    n, classes = z.shape
+    target = np.full((n, classes), 1 / (n + classes))
+    target[np.arange(n), y] += n / (n + classes)
+    grid = np.geomspace(*TEMPERATURES, 121)
+    loss = [-(target * np.log(softmax(z / t) + 1e-300)).sum(1).mean() for t in grid]
+    return float(grid[int(np.argmin(loss))])
 
 
 def language_of(text: Column, model: Languages, docs: DataFrame) -> Column:

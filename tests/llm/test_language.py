@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from foldcat.llm.language_id import BUCKETS, document_frequencies, fit_languages, identify_documents, term_counts
+from foldcat.llm.language_id import BUCKETS, TEMPERATURES, document_frequencies, fit_languages, identify_documents, softmax, temperature, term_counts
 
 SF = "/root/testdata/sf0.01"
 
@@ -27,10 +27,57 @@ def test_document_frequencies_are_those_of_all_rows(spark):
     assert (df == sum((term_counts(t) > 0).astype(int) for t in texts)).all()
 
 
-def test_elastic_net_leaves_most_weights_out(spark):
-    model = fit_languages(spark.read.parquet(f"{SF}/documents.parquet"))
-    assert model.weights.shape[1] == BUCKETS + 1
-    assert (model.weights == 0).mean() > 0.3
+def test_elastic_net_leaves_most_seen_weights_out(spark):
+    """Of the weights of buckets that occur; those of others are zero without a penalty."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = fit_languages(docs)
+    seen = np.flatnonzero(document_frequencies(docs.select("text"))[0])
+    assert len(seen) > 1_000
+    assert (model.weights[:, seen] == 0).mean() > 0.5
+
+
+def test_calibration(spark):
+    """The temperature lies inside its grid, and scores are about the share of right answers."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = fit_languages(docs)
+    assert TEMPERATURES[0] * 1.1 < model.temperature < TEMPERATURES[1] / 1.1
+    rows = identify_documents(docs).join(docs, "doc_id").where("held_out").collect()
+    right, score = np.array([r.lang_pred == r.lang for r in rows]), np.array([r.score for r in rows])
+    edges = np.quantile(score, np.linspace(0, 1, 6))
+    bins = np.clip(np.searchsorted(edges, score) - 1, 0, 4)
+    error = sum((bins == b).mean() * abs(right[bins == b].mean() - score[bins == b].mean()) for b in set(bins))
+    assert error < 0.03
+
+
+def test_temperature_of_known_scores():
+    rng = np.random.default_rng(0)
+    z = rng.normal(size=(20_000, 3)) * 2
+    p = softmax(z)
+    y = (p.cumsum(1) > rng.random((len(z), 1))).argmax(1)
+    assert abs(temperature(3.0 * z, y) - 3.0) < 0.2
+    sure = np.eye(3)[rng.integers(0, 3, 500)]
+    assert TEMPERATURES[0] < temperature(sure, sure.argmax(1)) < 0.5
+
+
+def test_softmax_regression_by_plain_sums():
+    """One step of FTRL by hand, from zero weights."""
+    from foldcat.llm.language_id import ftrl
+
+    at, v = np.array([3, BUCKETS]), np.array([0.6, 1.0])
+    weights = ftrl([(at, v)], np.array([0]), 2, 1, l1=0.01)
+    z, n = -0.5 * v, (0.5 * v) ** 2  # gradient p - y of the right class
+    want = -(z + 0.01) / ((1.0 + np.sqrt(n)) / 0.5 + 1e-3)
+    assert np.allclose(weights[0, at], want) and np.allclose(weights[1, at], -want)
+    assert np.count_nonzero(weights) == 4
+
+
+def test_a_repeated_id_counts_once(spark):
+    rows = [(1, "der hund", "de")] * 3_000 + [(i, "the dog", "en") for i in range(2, 30)] + [(i, "der hund", "de") for i in range(30, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = docs.dropDuplicates()
+    a, b = fit_languages(docs), fit_languages(few)
+    assert a.names == b.names == ("de", "en")
+    assert {r.lang_pred for r in identify_documents(docs).where("doc_id BETWEEN 2 AND 29").collect()} == {"en"}
 
 
 def test_odd_documents(spark):
