@@ -1,12 +1,13 @@
 """Quality rules as a short-circuit cascade, ordered by how much they reject for what they cost.
 
 Each rule is one test on a text. On a bounded sample every rule's time and its rejections are
-measured; rules are then ordered by rejection per cost, and a document leaves at the first rule that
+measured, on texts that pass the base rules and with the counts made that every text gets, as the cascade
+meets them; rules are then ordered by rejection per cost, and a document leaves at the first rule that
 rejects it. The order decides what work is done, never which documents are kept: a document is kept
 if it passes all rules.
 
 Defined results: a NULL or empty text has zero words and fails the base rules. Lines without a word
-are no duplicates. Ties in the order go to the rule listed first. Repeated rows get equal results,
+are no duplicates. Of rows that share an id, one may be in the sample. Ties in the order go to the rule listed first. Repeated rows get equal results,
 other columns are not read, an empty table gives no rows and the listed order.
 """
 
@@ -16,6 +17,7 @@ import time
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -35,24 +37,25 @@ class Text:
 
     def __init__(self, text: str | None):
         self.text = text or ""
-        self._words: list[bytes] | None = None
 
-    @property
+    @cached_property
     def words(self) -> list[bytes]:
-        if self._words is None:
-            self._words = ascii_words(self.text)
-        return self._words
+        return ascii_words(self.text)
 
+    @cached_property
     def word_chars(self) -> int:
         return len(self.text) - sum([self.text.count(c) for c in " \t\n\v\f\r"])
 
+    @cached_property
     def n_symbols(self) -> int:
         return sum([self.text.count(c) for c in SYMBOLS])
 
+    @cached_property
     def n_dup_lines(self) -> int:
         lines = [line for line in self.text.split("\n") if line.strip(" \t\n\v\f\r")]
         return len(lines) - len(set(lines))
 
+    @cached_property
     def n_repeat_words(self) -> int:
         return repeated_words(self.words)
 
@@ -85,15 +88,15 @@ class Rule:
 
 
 def _too_many_symbols(t: Text) -> bool:
-    return 5 * t.n_symbols() > max(1, len(t.words))
+    return 5 * t.n_symbols > max(1, len(t.words))
 
 
 def _odd_word_length(t: Text) -> bool:
-    return bool(t.words) and not 2 * len(t.words) <= t.word_chars() <= 15 * len(t.words)
+    return bool(t.words) and not 2 * len(t.words) <= t.word_chars <= 15 * len(t.words)
 
 
 def _few_letters(t: Text) -> bool:
-    return bool(t.text) and 2 * sum(map(str.isalpha, t.text)) < t.word_chars()
+    return bool(t.text) and 2 * sum(map(str.isalpha, t.text)) < t.word_chars
 
 
 def _shouting(t: Text) -> bool:
@@ -103,7 +106,7 @@ def _shouting(t: Text) -> bool:
 
 def _same_lines(t: Text) -> bool:
     lines = t.text.count("\n") + 1
-    return lines >= 4 and 10 * t.n_dup_lines() > 6 * lines
+    return lines >= 4 and 10 * t.n_dup_lines > 6 * lines
 
 
 def _one_word_rules(t: Text) -> bool:
@@ -140,17 +143,19 @@ def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMP
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
 
     def try_all(text: str | None) -> tuple:
-        result: list = []
-        for rule in rules:
-            fresh = Text(text)  # each rule pays for all that it asks for
+        t = Text(text)
+        result: list = [not base_counts(t)[-1]]
+        for rule in rules if result[0] else ():
             start = time.perf_counter()
-            rejected = rule.rejects(fresh)
+            rejected = rule.rejects(t)
             result += [int(rejected), time.perf_counter() - start]
-        return tuple(result)
+        return (*result, *[0] * (1 + 2 * len(rules) - len(result)))
 
     names = [f"{k}{i}" for i in range(len(rules)) for k in ("r", "s")]
-    tried = texts.select(struct_udf(try_all, names, ["int", "double"] * len(rules))("text").alias("t")).select("t.*")
-    totals = tried.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()
+    tried = struct_udf(try_all, ["passed", *names], ["boolean", *["int", "double"] * len(rules)])("text")
+    # One row of an id: its text may be repeated any number of times.
+    one = texts.select("doc_id", tried.alias("t")).groupBy("doc_id").agg(F.min("t").alias("t")).select("t.*").where("passed")
+    totals = one.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first()
     return [Measured(r.name, totals.n, int(totals[f"r{i}"]), float(totals[f"s{i}"])) for i, r in enumerate(rules)]
 
 
@@ -160,13 +165,19 @@ def ordered(rules: tuple[Rule, ...], measured: list[Measured]) -> tuple[Rule, ..
     return tuple(sorted(rules, key=lambda r: -worth[r.name]))
 
 
+def base_counts(t: Text) -> tuple:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    n = len(t.words)
+    failed = n < MIN_WORDS or 100 * t.n_repeat_words > MAX_REPEATED_PERCENT * n
+    return n, t.word_chars, t.n_symbols, t.n_dup_lines, t.n_repeat_words, failed
+
+
 def judge(text: str | None, cascade: tuple[Rule, ...]) -> tuple:
     """n_words, the base counts, base_failed, kept, and the rule that rejected it."""
     t = Text(text)
-    n, repeated = len(t.words), t.n_repeat_words()
-    base_failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n
-    by = None if base_failed else next((r.name for r in cascade if r.rejects(t)), None)
-    return n, t.word_chars(), t.n_symbols(), t.n_dup_lines(), repeated, base_failed, not base_failed and by is None, by
+    base = base_counts(t)
+    by = None if base[-1] else next((r.name for r in cascade if r.rejects(t)), None)
+    return *base, not base[-1] and by is None, by
 
 
 def judge_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> DataFrame:

@@ -6,7 +6,9 @@ import random
 import re
 from collections import Counter
 
-from foldcat.llm.rule_cascade import RULES, Measured, Text, judge, judge_documents, measure, ordered
+from pyspark.sql import functions as F
+
+from foldcat.llm.rule_cascade import RULES, Measured, Text, base_counts, judge, judge_documents, measure, ordered
 
 SF = "/root/testdata/sf0.01"
 
@@ -58,9 +60,15 @@ def test_order_does_not_change_the_verdict(spark):
 
 
 def test_measured_order(spark):
-    found = measure(spark.read.parquet(f"{SF}/documents.parquet"), sample=200)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = measure(docs, sample=200)
     assert [m.name for m in found] == [r.name for r in RULES]
-    assert all(m.seen == 200 and 0 <= m.rejected <= 200 and m.seconds > 0 for m in found)
+    # Texts that the base rules reject never meet the cascade.
+    chosen = docs.selectExpr("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(200).collect()
+    passing = [r.text for r in chosen if not base_counts(Text(r.text))[-1]]
+    assert 0 < len(passing) < 200
+    assert all(m.seen == len(passing) and m.seconds > 0 for m in found)
+    assert [m.rejected for m in found] == [sum(rule.rejects(Text(t)) for t in passing) for rule in RULES]
     given = [Measured(r.name, 10, n, s) for r, n, s in zip(RULES, (1, 5, 5, 0, 0, 9), (1, 1, 5, 1, 1, 90))]
     assert [r.name for r in ordered(RULES, given)] == [RULES[i].name for i in (1, 0, 2, 5, 3, 4)]
 
@@ -71,3 +79,9 @@ def test_odd_rows(spark):
     got = judge_documents(docs).collect()
     assert len(got) == 4 and not any(r.kept for r in got) and all(r.base_failed for r in got)
     assert judge_documents(docs.limit(0)).count() == 0
+
+
+def test_a_repeated_id_is_measured_once(spark):
+    rows = [(1, "the same long text of one id in very many rows of it")] * 500 + [(i, f"text {i} of a row that has more than ten words in it") for i in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {m.seen for m in measure(docs)} == {29}
