@@ -155,7 +155,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple
     chosen = F.broadcast(halves[0].unionByName(halves[1]))  # at most 2 * per_label rows
     shape = struct_udf(lambda t: (features(t).tobytes(),), ["x"], ["binary"])
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    rows = texts.join(chosen, "doc_id").select("quality", shape("text")["x"].alias("x")).collect()
+    shaped = texts.join(chosen, "doc_id").select("doc_id", "quality", shape("text")["x"].alias("x"))
+    # One row of an id and label, however often the id is repeated.
+    rows = shaped.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect()
+    rows.sort(key=lambda r: (r.doc_id, r.quality))
     x = np.array([np.frombuffer(r.x) for r in rows]).reshape(len(rows), len(FEATURES))
     return x, np.array([r.quality == 1 for r in rows], bool)
 
