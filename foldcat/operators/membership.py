@@ -12,6 +12,13 @@ _PIECE = 1 << 15
 _NUMBER, _MAP = "_piece", "_bitmap"
 
 
+def _unused(rows: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in rows.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _place(columns: list[str], bits: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(bits))
 
@@ -33,13 +40,15 @@ def with_chance(rows: DataFrame, bitmap: DataFrame, columns: list[str], bits: in
 
     Of n keys, a share of about ``n / bits`` of the other rows is taken for members.
     """
+    number, pieces = _unused(rows, _NUMBER), _unused(rows, _MAP)
     place = _place(columns, bits)
     at = (place % _PIECE).cast("int")
-    byte = F.substring(F.col(_MAP), F.floor(at / 8).cast("int") + 1, F.lit(1))
+    byte = F.substring(F.col(pieces), F.floor(at / 8).cast("int") + 1, F.lit(1))
     bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), at % 8) == 1
-    keyed = rows.withColumn(_NUMBER, F.floor(place / _PIECE))
-    joined = keyed.join(F.broadcast(bitmap), _NUMBER, "left")
-    return joined.withColumn(into, F.coalesce(bit, F.lit(False))).drop(_NUMBER, _MAP)
+    keyed = rows.withColumn(number, F.floor(place / _PIECE))
+    sent = F.broadcast(bitmap.select(F.col(_NUMBER).alias(number), F.col(_MAP).alias(pieces)))
+    joined = keyed.join(sent, number, "left")
+    return joined.withColumn(into, F.coalesce(bit, F.lit(False))).drop(number, pieces)
 
 
 def chance_members(rows: DataFrame, keys: DataFrame, columns: list[str], bits: int = BITS) -> DataFrame:

@@ -182,6 +182,13 @@ def test_sketches_lose_no_member_and_few_others_stay(spark):
     assert chance_members(rows, keys.limit(0), FILE_KEY, bits).count() == 0
 
 
+def test_sketches_leave_columns_of_any_name(spark):
+    rows = spark.createDataFrame([("a", 1, 2, 3)], ["name", "_piece", "_Bitmap", "a.b"])
+    keys = spark.createDataFrame([("a",)], "name string")
+    got = chance_members(rows, keys, ["name"])
+    assert got.columns == rows.columns and [tuple(r) for r in got.collect()] == [("a", 1, 2, 3)]
+
+
 def test_anti_join_by_sketch_equals_the_plain_one(spark):
     keys = spark.createDataFrame([("a", "1"), ("b", None), (None, "2"), ("c", "3")], "name string, hash string")
     rows = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", None), (None, "2"), ("c", "3"), ("c", "3"), ("d", "4")], "name string, hash string")
