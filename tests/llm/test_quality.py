@@ -64,3 +64,32 @@ def test_weights_order_pairs():
 
 def test_features_of_nothing():
     assert not features(None).any() and not features(" \n\t").any()
+
+
+def test_weights_are_those_of_plain_gradient_descent():
+    """Bradley-Terry over all pairs of a good and a poor row, one by one, against the Newton steps."""
+    rng = np.random.default_rng(2)
+    good = np.arange(40) < 22
+    x = rng.normal(size=(40, 2)) + np.where(good, 0.7, -0.2)[:, None] * np.array([1.0, -0.5])
+    model = fit_pairs(x, good, pairs=60_000)
+    z = np.clip((x - model.mean) / model.scale, -8, 8)
+    w = np.zeros(2)
+    for _ in range(3_000):
+        gradient = np.zeros(2)
+        for a in z[good]:
+            diff = a - z[~good]
+            gradient -= (diff / (1 + np.exp(diff @ w))[:, None]).sum(0)
+        w -= 0.5 * (gradient / (good.sum() * (~good).sum()))
+    assert np.allclose(model.weights, w, atol=0.1)
+    # The cut parts the labels as well as any other on the scores.
+    s = z @ model.weights
+    right = lambda cut: (s[good] >= cut).mean() + (s[~good] < cut).mean()
+    assert right(model.cut) >= max(right(c) for c in s) - 1e-9
+    assert ((model.score(x) >= 0.3) == (s >= model.cut)).all()
+
+
+def test_a_repeated_id_is_one_row(spark):
+    docs = spark.createDataFrame([(1, "good text of one id")] * 300 + [(2, "poor")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    x, good = labelled_sample(docs, labels, 20)
+    assert x.shape[0] == 2 and good.sum() == 1
