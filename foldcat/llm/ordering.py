@@ -34,12 +34,12 @@ def ranked(rows: DataFrame, order: list[Column], label: str) -> DataFrame:
     The first rank of a range is the number of rows in the ranges before; a count for each range reaches
     the driver.
     """
-    at = placed(rows, order, label)
-    part = F.shiftrightunsigned("at", _PLACE_BITS)
-    sizes = sorted(at.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
-    before = accumulate((r.n for r in sizes), initial=0)
-    starts = [(r.part, n) for r, n in zip(sizes, before)]
-    ranges = rows.sparkSession.createDataFrame(starts, "_part long, _before long")
-    in_range = F.col("at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    joined = at.withColumn("_part", part).join(F.broadcast(ranges), "_part")
-    return joined.withColumn("rank", F.col("_before") + in_range + 1).drop("at", "_part", "_before")
+    place, part, before = (unused(rows, name) for name in ("_at", "_part", "_before"))
+    at = placed(rows, order, label, place).withColumn(part, F.shiftrightunsigned(place, _PLACE_BITS))
+    sizes = sorted(at.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect())
+    firsts = accumulate((r.n for r in sizes), initial=0)
+    starts = [(r[0], first) for r, first in zip(sizes, firsts)]
+    ranges = rows.sparkSession.createDataFrame(starts, f"{part} long, {before} long")
+    in_range = F.col(place).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    joined = at.join(F.broadcast(ranges), part)
+    return joined.withColumn("rank", F.col(before) + in_range + 1).drop(place, part, before)
