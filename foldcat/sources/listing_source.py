@@ -63,32 +63,40 @@ class RangeReader(DataSourceReader):
 
 
 class PageReader(DataSourceStreamReader):
-    """Each micro-batch is the next page of keys; the offset is the last key of a page.
+    """Each micro-batch is the next ``pages`` pages of keys, a page a task; the offset is the last key of a page.
 
     A restarted query goes on behind the last key it had planned, without listing what came before.
     """
 
-    def __init__(self, open_store: Callable[[], Store], prefixes: list[str], page_size: int):
-        self.open_store, self.prefixes, self.page_size = open_store, prefixes, page_size
+    def __init__(self, open_store: Callable[[], Store], prefixes: list[str], page_size: int, pages: int = 1):
+        self.open_store, self.prefixes, self.page_size, self.pages = open_store, prefixes, page_size, pages
         self.position: str | None = None
+        # Where the pages of the last planned micro-batch end.
+        self.ends: list[str] = []
 
     def initialOffset(self) -> dict:
         return {"after": ""}
 
     def latestOffset(self) -> dict:
         after = self.initialOffset()["after"] if self.position is None else self.position
-        store, left = self.open_store(), self.page_size
-        for prefix in self.prefixes:
-            page = store.page(prefix, after, left) if left else []
-            left -= len(page)
-            after = page[-1].key if page else after
+        store, self.ends = self.open_store(), []
+        for _ in range(self.pages):
+            before, left = after, self.page_size
+            for prefix in self.prefixes:
+                page = store.page(prefix, after, left) if left else []
+                left -= len(page)
+                after = page[-1].key if page else after
+            if after == before:
+                break
+            self.ends.append(after)
         self.position = after
         return {"after": after}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        # After a restart, the last planned page is planned again before the next one is asked for.
+        # After a restart, the last planned pages are planned again before the next ones are asked for.
         self.position = max(self.position or "", end["after"])
-        return [KeyRange(prefix, start["after"], end["after"]) for prefix in self.prefixes]
+        ends = [*(key for key in self.ends if start["after"] < key < end["after"]), end["after"]]
+        return [KeyRange(prefix, after, upto) for after, upto in zip([start["after"], *ends], ends) for prefix in self.prefixes]
 
     def read(self, partition: KeyRange) -> Iterator[pa.RecordBatch]:
         return _batches(self.open_store().between(partition.prefix, partition.after, partition.upto))
@@ -115,7 +123,7 @@ def _registered(spark: SparkSession, open_store: Callable[[], Store]) -> str:
             return RangeReader(open_store, self._prefixes(), int(self.options["tasks"]))
 
         def streamReader(self, schema: object) -> PageReader:
-            return PageReader(open_store, self._prefixes(), int(self.options["page_size"]))
+            return PageReader(open_store, self._prefixes(), int(self.options["page_size"]), int(self.options["pages"]))
 
     short_name = f"objects_{uuid.uuid4().hex}"
     spark.dataSource.register(ObjectListing)
@@ -132,8 +140,8 @@ def read_keys(
 
 
 def stream_keys(
-    spark: SparkSession, open_store: Callable[[], Store], prefix: str | Sequence[str] = "", page_size: int = PAGE
+    spark: SparkSession, open_store: Callable[[], Store], prefix: str | Sequence[str] = "", page_size: int = PAGE, pages: int = 1
 ) -> DataFrame:
-    """Raw listing rows of a store as a stream, at most ``page_size`` in a micro-batch, in order of keys."""
-    reader = spark.readStream.format(_registered(spark, open_store))
-    return reader.option("prefixes", json.dumps(apart(prefix))).option("page_size", page_size).load()
+    """Raw listing rows of a store as a stream, at most ``pages`` of ``page_size`` in a micro-batch, in order of keys."""
+    reader = spark.readStream.format(_registered(spark, open_store)).option("prefixes", json.dumps(apart(prefix)))
+    return reader.option("page_size", page_size).option("pages", pages).load()

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
-from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +14,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from foldcat.functions.catalogue import stamp
 from foldcat.operators.upsert import upsert
 from foldcat.schemas import STORAGE
+from foldcat.sources.inventory import stream_folder
 from foldcat.sources.listing import hash_bodies, label_listing, list_objects
 from foldcat.sources.listing_source import RAW_SCHEMA, stream_keys
-from foldcat.sources.stores import FolderStore, Store
+from foldcat.sources.stores import Store
 from foldcat.staging import fresh_path
 
 PAGE_SIZE = 1000
@@ -41,17 +41,19 @@ def stream_store(
     root: str | Callable[[], Store],
     page_size: int = PAGE_SIZE,
     prefix: str | Sequence[str] = "",
+    pages: int = 1,
 ) -> DataFrame:
-    """The objects of a folder or store as raw listing rows, at most ``page_size`` per micro-batch.
+    """The objects of a folder or store as raw listing rows, at most ``pages`` pages of ``page_size`` per micro-batch.
 
     Pages follow the order of keys, and the last key of a page is the stream's offset: a restarted query
-    goes on behind it, and lists nothing again. A folder's bodies are hashed page by page; a store that
-    ``root`` opens gives the ETags itself. See ``sync_store``: such a stream plans a page when it is asked
-    for it, so a trigger that plans once, as available-now does, takes one page.
+    goes on behind it, and takes nothing again. A folder cannot be read in order, so it is listed once, when
+    the stream is defined, into sorted files, and once more behind their last key; its bodies are hashed page
+    by page. A store that ``root`` opens is asked for each page and gives the ETags itself. See ``sync_store``: such a stream plans when it is
+    asked to, so a trigger that plans once, as available-now does, takes one micro-batch.
     """
     if callable(root):
-        return stream_keys(spark, root, prefix, page_size)
-    return hash_bodies(stream_keys(spark, partial(FolderStore, root), prefix, page_size), root)
+        return stream_keys(spark, root, prefix, page_size, pages)
+    return hash_bodies(stream_folder(spark, root, prefix, page_size, pages), root)
 
 
 def stream_inventory(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rows import collected, storage
 
 from foldcat.plans.sync import sync
+from foldcat.sources.inventory import InventoryReader, save_inventory
 from foldcat.sources.listing import list_objects
 from foldcat.sources.listing_source import PageReader, apart, read_keys
 from foldcat.sources.stores import PAGE, FolderStore, Listed, Store
@@ -173,3 +174,81 @@ def test_offsets_of_pages():
                     counts.update(batch.column(0).to_pylist())
     assert sorted(counts) == [k for k in sorted(f"{i % 3}/{i:02d}" for i in range(30)) if k[0] != "1"]
     assert set(counts.values()) == {1}
+
+
+def put(root, keys):
+    for key in keys:
+        (root / key).parent.mkdir(parents=True, exist_ok=True)
+        (root / key).write_bytes(key.encode())
+
+
+def test_a_folder_is_not_run_over_for_each_page(spark, tmp_path, monkeypatch):
+    """However many pages there are, as many calls look at the folder."""
+    put(tmp_path / "store", [f"{i % 2}/{i:03d}" for i in range(60)])
+    counted = []
+    for size in (5, 30):
+        calls = tmp_path / f"calls{size}"
+        names = FolderStore._names
+
+        def counting(self, *args, _names=names, _calls=str(calls)):
+            with open(_calls, "a") as log:
+                log.write("x")
+            return _names(self, *args)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(FolderStore, "_names", counting)
+            log = str(tmp_path / f"log{size}")
+            sync_store(stream_store(spark, str(tmp_path / "store"), size), log, str(tmp_path / f"offsets{size}"))
+        assert [len(p) for _, p in sorted(pages_of(spark, log).items())] == [size] * (60 // size)
+        counted.append(len(calls.read_text()))
+    assert counted[0] == counted[1]
+
+
+def test_pages_at_once_and_objects_that_come_later(spark, tmp_path):
+    keys = [f"{i % 2}/{i:03d}" for i in range(70)]
+    root, log, offsets = tmp_path / "store", str(tmp_path / "log"), str(tmp_path / "offsets")
+    put(root, keys)
+    stream = stream_store(spark, str(root), 10, pages=3)
+    late = ["1/9", "1/99", "2/a"]
+    put(root, late)
+    sync_store(stream, log, offsets)
+    ordered = sorted(keys)
+    assert pages_of(spark, log) == {0: ordered[:30], 1: ordered[30:60], 2: ordered[60:], 3: ["1/9", "1/99"]}  # 2/ has no class
+    put(root, ["1/0", "1/999", "3/b"])
+    sync_store(stream_store(spark, str(root), 10, ["0", "1", "3"], pages=3), log, offsets)
+    # The offset was "2/a": what comes before it stays out, as in a store that is asked for pages.
+    assert sorted(os.listdir(log)) == [f"page={k}" for k in range(5)]
+    assert {k: len(names) for k, names in pages_of(spark, log).items()} == {0: 30, 1: 30, 2: 10, 3: 2}
+    catalogue = storage(spark, ("0/old", "h", 1, False))
+    for name, stream in {"missing": stream_store(spark, str(tmp_path / "missing"), 10), "none": stream_store(spark, str(root), 10, [])}.items():
+        sync_store(stream, str(tmp_path / f"log-{name}"), str(tmp_path / f"offsets-{name}"))
+        assert collected(fold_pages(catalogue, str(tmp_path / f"log-{name}"))) == collected(catalogue)
+
+
+@pytest.mark.parametrize("size,pages", [(7, 1), (7, 4), (100, 2)])
+def test_an_inventory_has_every_key_once_from_any_key_on(spark, tmp_path, size, pages):
+    keys = sorted({f"{i % 3}/{chr(0x61 + i * 7 % 900)}{i}" for i in range(300)})
+    put(tmp_path / "store", keys)
+    path = save_inventory(spark, str(tmp_path / "store"), ["0", "2"], size)
+    wanted = [k for k in keys if k[0] != "1"]
+    for begin in ("", wanted[0], wanted[57], wanted[57] + "!", wanted[-1], "1/zz"):
+        reader = InventoryReader(path, str(tmp_path / "store"), ["0", "2"], size, pages)
+        position, left = begin, [k for k in wanted if k > begin]
+        reader.position = begin
+        while (end := reader.latestOffset()["after"]) != position:
+            parts = reader.partitions({"after": position}, {"after": end})
+            found = [k for part in parts for batch in reader.read(part) for k in batch["Key"].to_pylist()]
+            assert found == left[: size * pages]
+            position, left = end, left[size * pages :]
+        assert not left
+
+
+def test_pages_of_a_store_at_once():
+    reader = PageReader(partial(Fake, [f"0/{i:02d}" for i in range(30)]), ["0"], 8, 3)
+    assert [reader.latestOffset()["after"] for _ in range(3)] == ["0/23", "0/29", "0/29"]
+    reader = PageReader(partial(Fake, [f"0/{i:02d}" for i in range(30)]), ["0"], 8, 3)
+    parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert [(p.after, p.upto) for p in parts] == [("", "0/07"), ("0/07", "0/15"), ("0/15", "0/23")]
+    # After a restart, what was planned is one range.
+    again = PageReader(partial(Fake, [f"0/{i:02d}" for i in range(30)]), ["0"], 8, 3)
+    assert len(again.partitions({"after": ""}, {"after": "0/23"})) == 1 and again.latestOffset() == {"after": "0/29"}

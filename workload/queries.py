@@ -34,8 +34,10 @@ from workload import inputs
 NUM_FILES = 201
 # A budget beyond any backlog here: everything that waits is taken.
 ALL_FILES = 2**31 - 1
-# Objects in a page of the stream of keys, bytes in a part of a composite ETag, slots of the table of bodies.
+# Objects in a page of the stream of keys, pages in a micro-batch, bytes in a part of a composite ETag, slots
+# of the table of bodies.
 KEYS_A_PAGE = 2_500
+PAGES_AT_ONCE = 64
 PART = 2_048
 SLOTS = 64
 
@@ -190,7 +192,7 @@ def keyed_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as objects, listed as a stream of pages by key and folded into the earlier catalogue."""
     root, log = fresh_path(spark, "objects"), fresh_path(spark, "pages")
     cut(put_contents(inputs.texts(spark, sf_dir), root))
-    pages = stream_store(spark, root, KEYS_A_PAGE)
+    pages = stream_store(spark, root, KEYS_A_PAGE, pages=PAGES_AT_ONCE)
     sync_store(pages, log, fresh_path(spark, "offsets"), inputs.RESYNCED_AT)
     return fold_pages(inputs.catalogue_before(spark, sf_dir), log)
 
