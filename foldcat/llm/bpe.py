@@ -20,22 +20,28 @@ import shutil
 import tempfile
 import unicodedata
 import uuid
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldcat.llm.lexicon import Lexicon, compile_lexicon
-from foldcat.llm.text import struct_udf
+from foldcat.llm.text import texts_udf
 from foldcat.staging import cut
 
 # How many words the lexicon holds at most: the most frequent ones of the corpus.
 LEXICON_WORDS = 262_144
-# How many different words, and how many chunks, a task remembers before it starts afresh.
-_REMEMBERED = 200_000
+# Above this many different words and chunks a task remembers only those of its last texts.
+_REMEMBERED = 300_000
+# Texts are taken together up to this many characters, or one by one if they are longer.
+_TOGETHER = 1 << 20
 # Words above this many symbols are merged with a heap.
 _SHORT = 40
-# Longer words are neither remembered nor held by the lexicon.
+# That many words are merged side by side.
+_SIDE_BY_SIDE = 2_048
+# Words and chunks longer than this are not remembered, nor held by the lexicon.
 _LONGEST = 64
 _NEVER, _ID = 1 << 62, (1 << 32) - 1
 
@@ -67,10 +73,15 @@ class Bpe:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks[self.vocab[left]][self.vocab[right]] = rank << 32 | self.vocab[left + right]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.pieces = {i: p for p, i in self.vocab.items()} | {i: p for p, i in self.special.items()}
+        named = {i: p for p, i in self.vocab.items()} | {i: p for p, i in self.special.items()}
+        self.pieces = [named.get(i, "") for i in range(max(named) + 1)]
+        self.numerals = [str(i) for i in range(len(self.pieces))]
         shown = byte_characters()
         self._plain = [self.vocab[c] for c in shown]
         self._final = [self.vocab[c + "</w>"] for c in shown]
+        # The same pairs in order, to look up many at once; the greatest id and one more tells left from right.
+        pairs = sorted((left * (len(self.pieces) + 1) + right, to) for left, by_right in enumerate(self.ranks) for right, to in by_right.items())
+        self._pairs, self._merged = np.array(pairs or [(-1, _NEVER)], np.int64).T.copy()
         self._words = regex.compile(_PATTERN)
         names = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self._specials = regex.compile(f"({'|'.join(names)})") if names else None
@@ -98,25 +109,54 @@ class Bpe:
             return [chunk[:-1], chunk[-1]]
         return self._words.findall(chunk)
 
-    def merge(self, word: bytes) -> list[int]:
-        """The ids of a word: the pair of the lowest rank merges first, the leftmost of equals."""
-        ids = [self._plain[b] for b in word[:-1]] + [self._final[word[-1]]]
-        if len(ids) > _SHORT:
-            return self._merge_long(ids)
-        by_left = self.ranks
-        ranks = [by_left[left].get(right, _NEVER) for left, right in zip(ids, ids[1:])]
-        while ranks and (best := min(ranks)) != _NEVER:
-            i = ranks.index(best)
-            merged = ids[i] = best & _ID
-            del ids[i + 1], ranks[i]
-            if i:
-                ranks[i - 1] = by_left[ids[i - 1]].get(merged, _NEVER)
-            if i < len(ranks):
-                ranks[i] = by_left[merged].get(ids[i + 1], _NEVER)
-        return ids
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word: the pair of the lowest rank merges first, the leftmost of equals."""
+        found: list[list[int]] = [[] for _ in words]
+        sizes = np.array([len(w) for w in words], np.int64)
+        for number in np.flatnonzero(sizes > _SHORT).tolist():
+            word = words[number]
+            found[number] = self._merge_long([self._plain[b] for b in word[:-1]] + [self._final[word[-1]]])
+        short = np.flatnonzero((sizes > 0) & (sizes <= _SHORT))
+        short = short[np.argsort(sizes[short], kind="stable")]  # words of like size side by side
+        for start in range(0, len(short), _SIDE_BY_SIDE):
+            block = short[start : start + _SIDE_BY_SIDE]
+            self._merge_block(b"".join([words[n] for n in block.tolist()]), sizes[block], block, found)
+        return found
+
+    def _merge_block(self, letters: bytes, sizes: np.ndarray, number: np.ndarray, found: list[list[int]]) -> None:
+        """Merge one pair of every word at a time; a row of ``ids`` is a word, filled up with no symbol's id."""
+        none = len(self.pieces)
+        ids = np.full((len(sizes), int(sizes.max()) + 1), none, np.int64)
+        ids[np.arange(ids.shape[1]) < sizes[:, None]] = np.array(self._plain, np.int64)[np.frombuffer(letters, np.uint8)]
+        rows = np.arange(len(sizes))
+        ids[rows, sizes - 1] = np.array(self._final, np.int64)[np.frombuffer(letters, np.uint8)[np.cumsum(sizes) - 1]]
+        ranks = self._ranked(ids, np.roll(ids, -1, axis=1))  # nothing pairs with the last column
+        while True:
+            at = ranks.argmin(axis=1)
+            best = ranks[rows, at]
+            if not (more := best != _NEVER).all():
+                for n, size, row in zip(number[~more].tolist(), sizes[~more].tolist(), ids[~more].tolist()):
+                    found[n] = row[:size]
+                if not more.any():
+                    return
+                ids, ranks, sizes, number, at, best = ids[more], ranks[more], sizes[more], number[more], at[more], best[more]
+                rows = rows[: len(sizes)]
+            shape, columns = (len(ids), ids.shape[1] - 1), np.arange(ids.shape[1])
+            ids = ids[columns != at[:, None] + 1].reshape(shape)
+            ranks = ranks[columns != at[:, None]].reshape(shape)
+            merged = ids[rows, at] = best & _ID
+            sizes = sizes - 1
+            ranks[rows, at - 1] = self._ranked(ids[rows, at - 1], merged)
+            ranks[rows, at] = self._ranked(merged, ids[rows, at + 1])
+
+    def _ranked(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Of each pair the rank and the id it merges to, as one number."""
+        sought = left * (len(self.pieces) + 1) + right
+        place = np.minimum(np.searchsorted(self._pairs, sought), len(self._pairs) - 1)
+        return np.where(self._pairs[place] == sought, self._merged[place], _NEVER)
 
     def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same with a heap and a linked list, for words of any length."""
+        """The same for one word of any length, with a heap and a linked list."""
         n = len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
         heap = [(self.ranks[a][b], i, (a, b)) for i, (a, b) in enumerate(zip(ids, ids[1:])) if b in self.ranks[a]]
@@ -143,40 +183,57 @@ class Coder:
         with open(vocabulary, encoding="utf-8") as file:
             self.bpe = Bpe(json.load(file))
         self.lexicon = Lexicon(lexicon)
-        self._words: dict[str, tuple[int, str, str]] = {}
-        self._chunks: dict[str, tuple[int, str, str]] = {}
-
-    def _word(self, word: str) -> tuple[int, str, str]:
-        if word[0] == " ":
-            ids = [self.bpe.special[word[1:]]]
-        else:
-            raw = word.encode("utf-8", "surrogatepass")
-            ids = self.lexicon.get(raw) or self.bpe.merge(raw)
-        pieces = self.bpe.pieces
-        entry = (len(ids), " ".join(map(str, ids)), " ".join([pieces[i] for i in ids]))
-        return _remember(self._words, word, entry)
-
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        seen, slow = self._words.get, self._word
-        parts = [seen(w) or slow(w) for w in self.bpe.words(chunk)]
-        return _remember(self._chunks, chunk, parts[0] if len(parts) == 1 else _joined(parts))
-
-    def code(self, text: str | None) -> tuple[int, str, str]:
-        """Number of tokens, the ids joined by spaces, the decoded text."""
-        seen, slow = self._chunks.get, self._chunk
-        return _joined([seen(c) or slow(c) for c in self.bpe.chunks(text)] if text else [])
-
-
-def _joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
-    return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
-
-
-def _remember(seen: dict, key: str, entry: tuple) -> tuple:
-    if len(key) <= _LONGEST:
-        if len(seen) >= _REMEMBERED:
-            seen.clear()
-        seen[key] = entry
-    return entry
+        # Of words and chunks alike, as a word is a chunk of one word: the ids and the pieces, joined by spaces.
+        self._seen: dict[str, tuple[str, str]] = {}
+
+    def _learn(self, chunks: set[str]) -> list[str]:
+        """Remember chunks that were not seen before, and their words; those too long to be kept are returned."""
+        seen, bpe, numerals, pieces = self._seen, self.bpe, self.bpe.numerals, self.bpe.pieces
+        parted = {c: bpe.words(c) for c in chunks}
+        words = list(set().union(*parted.values()).difference(seen))
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        known = self.lexicon.get_all(raw)
+        missing = [i for i, ids in enumerate(known) if ids is None]
+        for i, ids in zip(missing, bpe.merge_all([raw[i] for i in missing])):
+            known[i] = [bpe.special[words[i][1:]]] if words[i][0] == " " else ids
+        for word, ids in zip(words, known):
+            seen[word] = " ".join([numerals[i] for i in ids]), " ".join([pieces[i] for i in ids])
+        for chunk, parts in parted.items():
+            if len(parts) > 1:
+                seen[chunk] = _joined([seen[w] for w in parts])
+        return [c for c in {*words, *parted} if len(c) > _LONGEST]
+
+    def code(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
+        """For each text: number of tokens, the ids joined by spaces, the decoded text."""
+        seen = self._seen
+        parted = [self.bpe.chunks(t) if t else [] for t in texts]
+        found = set().union(*parted)
+        long = self._learn(found.difference(seen))
+        for chunks in parted:
+            ids, decoded = _joined(list(map(seen.__getitem__, chunks)))
+            yield ids.count(" ") + 1 if ids else 0, ids, decoded
+        for chunk in long:
+            del seen[chunk]
+        if len(seen) > _REMEMBERED:
+            found.difference_update(long)
+            self._seen = {c: seen[c] for c in found} if len(found) < _REMEMBERED else {}
+
+
+def _joined(parts: list[tuple[str, str]]) -> tuple[str, str]:
+    return " ".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
+
+
+def _together(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
+    """Texts in lists of ``_TOGETHER`` characters or one text."""
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text or "") > _TOGETHER:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text or "")
+    if group:
+        yield group
 
 
 _CODERS: dict[str, Coder] = {}
@@ -228,17 +285,18 @@ def bpe_code(docs: DataFrame, text: str, vocabulary_path: str, words: int = LEXI
     _hand_out(spark, {vocabulary: raw})
     bpe = Bpe(json.loads(raw))
     found = frequent_words(docs[text].cast("string"), docs, words)
-    _hand_out(spark, {lexicon: compile_lexicon({w: bpe.merge(w) for w in found})})
+    _hand_out(spark, {lexicon: compile_lexicon(dict(zip(found, bpe.merge_all(found))))})
+
+    def code(texts: Iterable[str | None]) -> Iterator[tuple[int, str, str]]:
+        for group in _together(texts):
+            yield from _coder(vocabulary, lexicon).code(group)
 
-    def digests(value: str | None) -> tuple[int, str, str]:
-        n, ids, decoded = _coder(vocabulary, lexicon).code(value)
-        return n, *(hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest() for s in (ids, decoded))
+    def digests(texts: Iterable[str | None]) -> Iterator[tuple[int, str, str]]:
+        for n, *coded in code(texts):
+            yield n, *(hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest() for s in coded)
 
-    if digest:
-        per_row, names = digests, ["n_tokens", "ids_sha256", "decoded_sha256"]
-    else:
-        per_row, names = lambda t: _coder(vocabulary, lexicon).code(t), ["n_tokens", "ids", "decoded"]
-    return struct_udf(per_row, names, ["long", "string", "string"])(docs[text].cast("string"))
+    names = ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"])]
+    return texts_udf(digests if digest else code, names, ["long", "string", "string"])(docs[text].cast("string"))
 
 
 def bpe_documents(docs: DataFrame, vocabulary_path: str, words: int = LEXICON_WORDS) -> DataFrame:

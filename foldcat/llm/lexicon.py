@@ -1,8 +1,9 @@
 """A minimal acyclic transducer: sorted words in, token ids out, read from a memory-mapped file.
 
 Words that end alike share states. Each arc holds how many accepted words it skips, so that the sum
-along a path is the word's rank in sorted order, and the rank finds the word's ids. An arc also holds
-where its target's arcs lie and whether the target accepts.
+along a path is the word's rank in sorted order, and the rank finds the word's ids. A state is named by
+the place of its first arc; the arcs of all states are sorted by state and label, so that many words are
+looked up at once, letter by letter. An arc also holds its target and whether the target accepts.
 """
 
 from __future__ import annotations
@@ -11,8 +12,7 @@ import mmap
 
 import numpy as np
 
-_MAGIC = b"FOLDLEX1"
-_BYTES = [bytes([b]) for b in range(256)]
+_MAGIC = b"FOLDLEX2"
 
 
 def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
@@ -50,27 +50,28 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     root = freeze(path[0])
 
     below = [0] * len(states)  # a state's targets are frozen before it
-    first, labels, targets, skips = [0], bytearray(), [], []
+    first, labels, targets, skips = [0], [], [], []
     for number, (accepts, arcs) in enumerate(states):
         count = int(accepts)
         for label, target in arcs:
-            labels.append(label)
+            labels.append(first[number] << 8 | label)
             targets.append(target)
             skips.append(count)
             count += below[target]
         below[number] = count
         first.append(len(labels))
+    # A state without arcs is named by the place behind all arcs, where nothing is found.
+    named = [first[n] if arcs else len(labels) for n, (_, arcs) in enumerate(states)]
     offsets = np.zeros(len(words) + 1, np.uint32)
     if words:
         offsets[1:] = np.cumsum([len(entries[w]) for w in words])
     parts = [
-        np.array([first[root], first[root + 1], states[root][0], len(states), len(labels), len(words), int(offsets[-1])], np.uint32),
-        np.array([first[t] for t in targets], np.uint32),
-        np.array([first[t + 1] for t in targets], np.uint32),
+        np.array([named[root], states[root][0], len(states), len(labels), len(words), int(offsets[-1])], np.uint32),
+        np.array(labels, np.uint64),
+        np.array([named[t] for t in targets], np.uint32),
         np.array([skip << 1 | states[t][0] for skip, t in zip(skips, targets)], np.uint32),
         offsets,
         np.array([i for w in words for i in entries[w]], np.uint32),
-        np.frombuffer(bytes(labels), np.uint8),
     ]
     return _MAGIC + b"".join(p.tobytes() for p in parts)
 
@@ -80,36 +81,55 @@ class Lexicon:
 
     def __init__(self, path: str):
         with open(path, "rb") as file:
-            self._map = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-        if self._map[: len(_MAGIC)] != _MAGIC:
+            mapped = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+        if mapped[: len(_MAGIC)] != _MAGIC:
             raise ValueError("not a lexicon")
-        view = memoryview(self._map)
         at = len(_MAGIC)
 
-        def numbers(count: int):
+        def numbers(count: int, kind=np.uint32) -> np.ndarray:
             nonlocal at
-            part = view[at : at + 4 * count].cast("I")
-            at += 4 * count
+            part = np.frombuffer(mapped, kind, count, at)
+            at += part.nbytes
             return part
 
-        self._low, self._high, self._accepts, self.n_states, n_arcs, self.n_words, n_ids = numbers(7)
-        self._first = numbers(n_arcs)
-        self._end = numbers(n_arcs)
+        self._root, self._accepts, self.n_states, n_arcs, self.n_words, n_ids = numbers(6).tolist()
+        self._labels = numbers(n_arcs, np.uint64)
+        self._targets = numbers(n_arcs)
         self._skips = numbers(n_arcs)
         self._offsets = numbers(self.n_words + 1)
         self._ids = numbers(n_ids)
-        self._labels = view[at : at + n_arcs]
-        self._base = at
 
     def get(self, word: bytes) -> list[int] | None:
         """The ids of a word, or None if the lexicon does not hold it."""
-        rank, accepts, low, high, base = 0, self._accepts, self._low, self._high, self._base
-        find, first, end, skips = self._map.find, self._first, self._end, self._skips
-        for byte in word:
-            arc = find(_BYTES[byte], base + low, base + high) - base
-            if arc < 0:
-                return None
-            skip = skips[arc]
-            rank += skip >> 1
-            accepts, low, high = skip & 1, first[arc], end[arc]
-        return self._ids[self._offsets[rank] : self._offsets[rank + 1]].tolist() if accepts else None
+        return self.get_all([word])[0]
+
+    def get_all(self, words: list[bytes]) -> list[list[int] | None]:
+        """The same for each of many words."""
+        found: list[list[int] | None] = [None] * len(words)
+        letters = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+        # Of each word still on its way: its number, the place of its next letter, its state, rank and end.
+        number = np.arange(len(words))
+        at = np.concatenate([np.zeros(1, np.int64), ends])[:-1]
+        state = np.full(len(words), self._root, np.uint64)
+        rank = np.zeros(len(words), np.int64)
+        accepts = np.full(len(words), bool(self._accepts))
+        while number.size:
+            done = at == ends[number]
+            if done.any():
+                held = done & accepts
+                low = self._offsets[rank[held]].tolist()
+                high = self._offsets[rank[held] + 1].tolist()
+                for n, a, b in zip(number[held].tolist(), low, high):
+                    found[n] = self._ids[a:b].tolist()
+                number, at, state, rank = number[~done], at[~done], state[~done], rank[~done]
+            if not (number.size and self._labels.size):
+                break
+            sought = state << np.uint64(8) | letters[at]
+            arc = np.minimum(np.searchsorted(self._labels, sought), self._labels.size - 1)
+            there = self._labels[arc] == sought
+            arc, number, at = arc[there], number[there], at[there] + 1
+            skip = self._skips[arc]
+            rank = rank[there] + (skip >> 1)
+            accepts, state = skip & 1 == 1, self._targets[arc].astype(np.uint64)
+        return found

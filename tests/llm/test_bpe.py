@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 
 import public_tokenizers
@@ -10,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from foldcat.llm.bpe import bpe_code, bpe_documents
+from foldcat.llm import bpe
+from foldcat.llm.bpe import Bpe, Coder, bpe_code, bpe_documents
 from foldcat.llm.lexicon import Lexicon, compile_lexicon
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -84,3 +86,48 @@ def test_lexicon_shares_suffixes(tmp_path):
 def test_empty_lexicon(tmp_path):
     (tmp_path / "lexicon").write_bytes(compile_lexicon({}))
     assert Lexicon(str(tmp_path / "lexicon")).get(b"a") is None
+
+
+def test_many_words_are_looked_up_at_once(tmp_path):
+    entries = {b"ab": [1], b"abc": [2, 3], b"bc": [4]}
+    (tmp_path / "lexicon").write_bytes(compile_lexicon(entries))
+    words = [b"bc", b"", b"abcd", b"b", b"abc", b"abc", b"\xff", b"ab"]
+    assert Lexicon(str(tmp_path / "lexicon")).get_all(words) == [entries.get(w) for w in words]
+    (tmp_path / "empty").write_bytes(compile_lexicon({b"": [7]}))
+    assert Lexicon(str(tmp_path / "empty")).get_all([b"a", b""]) == [None, [7]]
+
+
+def test_many_words_merge_as_one_by_one(monkeypatch):
+    with open(PATH, encoding="utf-8") as file:
+        coder = Bpe(json.load(file))
+    tokenizer, rng = Tokenizer.from_file(PATH), random.Random(5)
+    words = ["".join(rng.choices("aeinrstélñ漢", k=rng.randrange(1, 30))) for _ in range(500)] + ["a" * n for n in range(1, 90)]
+    monkeypatch.setattr(bpe, "_SIDE_BY_SIDE", 64)
+    got = coder.merge_all([w.encode() for w in words])
+    assert got == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert coder.merge_all([]) == []
+
+
+def test_frequent_words_are_looked_up_once(tmp_path, monkeypatch):
+    """Rare words that fill the memory of a task do not make it forget the frequent ones."""
+    (tmp_path / "lexicon").write_bytes(compile_lexicon({}))
+    coder, asked = Coder(PATH, str(tmp_path / "lexicon")), []
+    find = coder.lexicon.get_all
+    monkeypatch.setattr(coder.lexicon, "get_all", lambda words: asked.extend(words) or find(words))
+    monkeypatch.setattr(bpe, "_REMEMBERED", 20)
+    rare = ["".join(random.Random(i).choices("abcdefgh", k=12)) for i in range(100)]
+    tokenizer = Tokenizer.from_file(PATH)
+    for i in range(0, 100, 2):
+        texts = [f"The cat, the dog. {rare[i]}", None, f"the dog, {rare[i + 1]} the cat. {'x' * 100}"]
+        for text, (n, ids, _) in zip(texts, coder.code(texts), strict=True):
+            want = tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert (n, ids) == (len(want), " ".join(map(str, want)))
+        assert not any(len(c) > 64 for c in coder._seen)
+    assert len(coder._seen) <= 40
+    assert [asked.count(w) for w in (b"the", b"cat", b"dog", b",")] == [1, 1, 1, 1]
+
+
+def test_texts_are_taken_together_up_to_a_size(monkeypatch):
+    monkeypatch.setattr(bpe, "_TOGETHER", 4)
+    assert list(bpe._together(["abc", "d", None, "e", "fghijk", "", "l"])) == [["abc", "d", None], ["e"], ["fghijk"], ["", "l"]]
+    assert list(bpe._together([])) == []
